@@ -14,7 +14,7 @@ row per pair of files with bounded schema trees, and one row per change when typ
 from __future__ import annotations
 
 import json
-from collections import defaultdict
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -261,18 +261,20 @@ def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
     """Types of one feed's fields through its renames; pdf holds renames and the files where a type may have changed."""
     known: dict[str, str] = {}
     out = []
-    for (seq, file_id), g in pdf.sort_values(["seq", "step", "path"]).groupby(["seq", "file_id"], sort=True):
-        ren = g[g.step == 0]
-        moved = {n: known.pop(o, None) for o, n in zip(ren.old_field, ren.path)}
-        for n, k in moved.items():
-            if k is not None:
-                known[n] = k
-            else:
-                known.pop(n, None)
-        for path, kind in zip(g[g.step == 1].path, g[g.step == 1].kind):
-            if path in known and known[path] != kind:
-                out.append((file_id, "retyped", path, path))
-            known[path] = kind
+    rows = sorted(zip(pdf.seq.tolist(), pdf.step.tolist(), pdf.path.tolist(), pdf.file_id.tolist(), pdf.kind.tolist(), pdf.old_field.tolist()), key=lambda r: r[:3])
+    for _, same in groupby(rows, key=lambda r: r[:2]):
+        same = list(same)
+        if same[0][1] == 0:  # all renames of a file happen at once
+            moved = [(r[2], known.pop(r[5], None)) for r in same]
+            for path, kind in moved:
+                known.pop(path, None)
+                if kind is not None:
+                    known[path] = kind
+        else:
+            for _, _, path, file_id, kind, _ in same:
+                if known.get(path, kind) != kind:
+                    out.append((file_id, "retyped", path, path))
+                known[path] = kind
     return pd.DataFrame(out, columns=["file_id", "change_kind", "old_field", "new_field"])
 
 
@@ -313,10 +315,9 @@ def _compile(pdf: pd.DataFrame) -> pd.DataFrame:
     """Projection of each file of one feed: every current path with the first name its field had in the feed."""
     name: dict[str, str] = {}
     out = []
-    for (seq, file_id), g in pdf.groupby(["seq", "file_id"], sort=True):
-        ren = g[g.step == 0]
-        moved = {n: name.pop(o, o) for o, n in zip(ren.old_field, ren.path)}
-        name.update(moved)
+    rows = sorted(zip(pdf.seq.tolist(), pdf.file_id.tolist(), pdf.path.tolist(), pdf.old_field.tolist()))
+    for (_, file_id), same in groupby(rows, key=lambda r: r[:2]):
+        name.update({path: name.pop(old, old) for _, _, path, old in list(same)})
         out.append((file_id, [{"path": n, "canonical": c} for n, c in sorted(name.items()) if n != c]))
     return pd.DataFrame(out, columns=["file_id", "renames"])
 
