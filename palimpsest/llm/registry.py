@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from palimpsest.plans.registry import gather
 
-MODULES = ("text_queries", "size_queries")
+MODULES = ("text_queries", "size_queries", "garbled_queries", "page_queries")
 
 
 def extra() -> tuple[dict, dict]:
