@@ -208,9 +208,10 @@ def around_lines(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "te
     """
     model = train(pages)
     sent = texts.sparkSession.sparkContext.broadcast((model.weight, model.move, model.begin, model.end))  # bounded by the labelled pages
+    key = (pages, len(model.weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain = _worker_chain(sent.id, sent.value)
+        chain = _worker_chain(key, sent.value)
         known: dict[str, list[int]] = {}
         for b in batches:
             ids, nos = [], []
@@ -235,10 +236,10 @@ def around_lines(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "te
     return texts.select(F.col(id_col).cast("long").alias(id_col), text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, f"{id_col} long, line_no int")
 
 
-_CHAINS: dict[int, Chain] = {}
+_CHAINS: dict[tuple, Chain] = {}
 
 
-def _worker_chain(key: int, parts: tuple) -> Chain:
+def _worker_chain(key: tuple, parts: tuple) -> Chain:
     """The chain of a broadcast model, kept by the worker process with the scores it has computed."""
     if key not in _CHAINS:
         _CHAINS.clear()
@@ -257,9 +258,10 @@ def main_body_of_html(pages_df: DataFrame, id_col: str, html_col: str, pages: in
     """(id, text) of every page: the blocks of its main body by line. A null page gives null, a page without one ''."""
     model = train(pages)
     sent = pages_df.sparkSession.sparkContext.broadcast((model.weight, model.move, model.begin, model.end))
+    key = (pages, len(model.weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain = _worker_chain(sent.id, sent.value)
+        chain = _worker_chain(key, sent.value)
         for b in batches:
             out = []
             for html in b.column(1).to_pylist():

@@ -1,6 +1,6 @@
 """Text decoded with the wrong character encoding (problem 10).
 
-Lines and words that are equal once characters outside ASCII are stripped are near-twins; the most frequent of them stands
+Clauses and words that are equal once characters outside ASCII are stripped are near-twins; the most frequent of them stands
 for the clean one. The runs of other characters are aligned at their places in the stripped text, and a transformation
 (bytes of one encoding read in another) that turns each differing run of one twin into the other's is inferred. The
 transformations so learned are applied to every word of the corpus. A repair holds if the corpus knows the repaired word
@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ _RUN = re.compile(r"[^\x00-\x7f]+")
 LOST = r"[\x{80}-\x{9f}\x{fffd}]"
 _LOST = re.compile("[\x80-\x9f�]")
 WORD = r"[^ \n\t\r]*[^\x00-\x7F][^ \n\t\r]*"
-MIN_SUPPORT, MIN_SKELETON, STRONG = 3, 6, 4
+MIN_SUPPORT, MIN_SKELETON, STRONG = 2, 4, 4
 
 
 @lru_cache(maxsize=32)
@@ -76,9 +76,10 @@ def infer(a: str, b: str) -> list[str]:
     return [n for n in TRANSFORMATIONS if all(undo(g, n) == c for g, c in differ) or all(undo(c, n) == g for g, c in differ)] if differ else []
 
 
-def _infer_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"name": [n for a, b in zip(pdf["record"], pdf["twin"]) for n in infer(a, b)]})
+def _infer_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        names = [n for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for n in infer(x, y)]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
 
 
 def vocabulary(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -89,12 +90,12 @@ def vocabulary(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def learned(texts: DataFrame, words: DataFrame, text_col: str) -> list[str]:
     """Transformations inferred from at least MIN_SUPPORT pairs of twins (at most as many as there are transformations)."""
-    lines = texts.select(F.explode(F.split(text_col, "\n")).alias("record")).where(F.col("record").rlike(r"[^\x00-\x7F]")).groupBy("record").agg(F.count("*").alias("n"))
+    lines = texts.select(F.explode(F.split(text_col, r"[\n.,;:!?]+")).alias("record")).where(F.col("record").rlike(r"[^\x00-\x7F]")).groupBy("record").agg(F.count("*").alias("n"))
     records = lines.unionByName(words).withColumn("skeleton", F.regexp_replace("record", r"[^\x00-\x7F]+", "")).where(F.length("skeleton") >= MIN_SKELETON)
     keyed = records.select("record", F.xxhash64("skeleton").alias("k"), F.struct("n", -F.length("record"), "record").alias("rank"))
     twins = keyed.groupBy("k").agg(F.max("rank").alias("best"), F.count("*").alias("c")).where("c > 1").select("k", F.col("best.record").alias("twin"))
     pairs = keyed.join(twins, "k").where("record <> twin").select("record", "twin")
-    return sorted(r["name"] for r in pairs.mapInPandas(_infer_all, "name string").groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT).collect())
+    return sorted(r["name"] for r in pairs.mapInArrow(_infer_all, "name string").groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT).collect())
 
 
 def _repairs_of(names: list[str], alphabet: frozenset[str]):
@@ -112,17 +113,19 @@ def _repairs_of(names: list[str], alphabet: frozenset[str]):
 
         return _RUN.sub(one, word), sure
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for word, n in zip(pdf["record"], pdf["n"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[], [], [], [], [], []]
+            for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if "�" in word:
                     continue
                 for name in names:
                     new, sure = fix(word, name)
                     if new != word:
-                        rows.append((word, n, new, name, TRANSFORMATIONS[name][1] == "utf-8", sure))
-            yield pd.DataFrame(rows, columns=["record", "n", "fixed", "name", "utf", "sure"])
+                        for col, x in zip(out, (word, n, new, name, TRANSFORMATIONS[name][1] == "utf-8", sure)):
+                            col.append(x)
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["record", "n", "fixed", "name", "utf", "sure"])
 
     return run
 
@@ -141,7 +144,7 @@ def repairs(texts: DataFrame, id_col: str, text_col: str, cut=lambda df: df) ->
     often = {r["ch"]: r["n"] for r in chars.collect()}
     least = max(3, sum(often.values()) // 100_000)
     alphabet = frozenset(c for c, n in often.items() if n >= least)
-    tried = words.mapInPandas(_repairs_of(names, alphabet), "record string, n long, fixed string, name string, utf boolean, sure boolean")
+    tried = words.mapInArrow(_repairs_of(names, alphabet), "record string, n long, fixed string, name string, utf boolean, sure boolean")
     known = tried.join(clean.select(F.col("record").alias("fixed"), F.col("n").alias("m")), "fixed", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     held = known.where((F.col("m") >= 2 * F.col("n")) | (F.col("utf") & ((F.col("m") > F.col("n")) | (F.col("sure") & (F.col("m") + 3 > F.col("n")))))).withColumn(
         "rank", F.struct("m", F.col("utf"), -F.length("fixed"), "fixed", "name")
