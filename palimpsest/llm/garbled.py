@@ -28,7 +28,7 @@ _RUN = re.compile(r"[^\x00-\x7f]+")
 LOST = r"[\x{80}-\x{9f}\x{fffd}]"
 _LOST = re.compile("[\x80-\x9f�]")
 WORD = r"[^ \n\t\r]*[^\x00-\x7F][^ \n\t\r]*"
-MIN_SUPPORT, MIN_SKELETON, STRONG = 2, 4, 4
+MIN_SUPPORT, MIN_SKELETON, STRONG, EVIDENT = 2, 4, 4, 20
 
 
 @lru_cache(maxsize=32)
@@ -134,7 +134,8 @@ def repairs(texts: DataFrame, id_col: str, text_col: str, cut=lambda df: df) ->
     """(record, fixed or null, name, strong) for every garbled word; fixed is null where the original can't be told.
 
     strong: enough by itself to tell that a text is garbled. Bytes of a one-byte encoding in a word of under STRONG
-    characters are not, and count only beside a strong word garbled in the same way.
+    characters are not, and count only beside a strong word garbled in the same way, unless the corpus holds the repaired
+    word EVIDENT times as often.
     """
     words = cut(vocabulary(texts, id_col, text_col))
     names = learned(texts, words, text_col)
@@ -147,10 +148,10 @@ def repairs(texts: DataFrame, id_col: str, text_col: str, cut=lambda df: df) ->
     tried = words.mapInArrow(_repairs_of(names, alphabet), "record string, n long, fixed string, name string, utf boolean, sure boolean")
     known = tried.join(clean.select(F.col("record").alias("fixed"), F.col("n").alias("m")), "fixed", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     held = known.where((F.col("m") >= 2 * F.col("n")) | (F.col("utf") & ((F.col("m") > F.col("n")) | (F.col("sure") & (F.col("m") + 3 > F.col("n")))))).withColumn(
-        "rank", F.struct("m", F.col("utf"), -F.length("fixed"), "fixed", "name")
+        "rank", F.struct("m", F.col("utf"), -F.length("fixed"), "fixed", "name", "n")
     )
     mapped = held.groupBy("record").agg(F.max("rank").alias("r")).select(
-        "record", F.col("r.fixed").alias("fixed"), F.col("r.name").alias("name"), (F.col("r.utf") | (F.length("record") >= STRONG)).alias("strong")
+        "record", F.col("r.fixed").alias("fixed"), F.col("r.name").alias("name"), (F.col("r.utf") | (F.length("record") >= STRONG) | ((F.col("r.m") >= EVIDENT) & (F.col("r.m") >= EVIDENT * F.col("r.n")))).alias("strong")
     )
     # what was lost in decoding can only come back from a twin
     skeleton = F.regexp_replace("record", r"[^\x00-\x7F]+", "")
