@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("change_queries",)
+MODULES = ("change_queries", "catalog_queries", "text_queries", "answer_queries")
 
 
 def gather(package: str, modules: tuple[str, ...]) -> tuple[dict, dict]:
