@@ -66,7 +66,7 @@ def policy_of_url(url: Column | str) -> Column:
     host = F.when(rest.startswith("//"), F.regexp_extract(rest, r"^//([^/]*)", 1)).otherwise("")
     path = F.when(rest.startswith("//"), F.regexp_replace(rest, r"^//[^/]*", "")).otherwise(rest)
     used = F.when(path.isin("", "/"), host).otherwise(path)
-    return sanitise(F.element_at(F.filter(F.concat(F.array(F.lit("")), F.split(used, "/")), lambda p: (p != "") & (p != ".")), -1))
+    return sanitise(F.coalesce(F.try_element_at(F.filter(F.split(used, "/"), lambda p: (p != "") & (p != ".")), F.lit(-1)), F.when(used.isNotNull(), F.lit(""))))
 
 
 # Fixed value: form of an absolute web address.

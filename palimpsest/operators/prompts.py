@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,8 +92,6 @@ def collect_answers(answers: DataFrame, *doc: str) -> DataFrame:
 
 def score(prompts: DataFrame, scorer: Callable[[str, str], str]) -> DataFrame:
     """Answers of an injected scorer to (system, current content); the scorer runs in Arrow batches, never in the plan by itself."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(system: pd.Series, content: pd.Series) -> pd.Series:
         def one(s, c):

@@ -350,6 +350,6 @@ def unified_records(records: DataFrame, files: DataFrame, cut=lambda df: df) ->
         )
     )
     text = lambda parent: F.get_json_object(
-        F.concat(F.lit('{"v":'), F.element_at(F.map_values(F.map_filter("raw", lambda k, v: k.startswith(f"{parent}.") & v.startswith('"'))), 1), F.lit("}")), "$.v"
+        F.concat(F.lit('{"v":'), F.try_element_at(F.map_values(F.map_filter("raw", lambda k, v: k.startswith(f"{parent}.") & v.startswith('"'))), F.lit(1)), F.lit("}")), "$.v"
     )
     return named.select("record_id", "file_id", "feed", fields.alias("fields"), text("practically_substantive").alias("practical_text"), text("legally_substantive").alias("legal_text"))
