@@ -27,7 +27,7 @@ TRANSFORMATIONS = {f"{r}<-{b}" + "x2" * (n == 2): (r, b, n) for r, b, n in (*MUL
 _RUN = re.compile(r"[^\x00-\x7f]+")
 LOST = r"[\x{80}-\x{9f}\x{fffd}]"
 _LOST = re.compile("[\x80-\x9f�]")
-WORD = r"[^ \n\t\r]*[^\x00-\x7F][^ \n\t\r]*"
+WORD = r"(?<![^ \n\t\r])[^ \n\t\r]*?[^\x00-\x7F][^ \n\t\r]*"  # starts only where a run starts, so that long runs take linear time
 MIN_SUPPORT, MIN_SKELETON, STRONG, EVIDENT = 2, 4, 4, 20
 
 

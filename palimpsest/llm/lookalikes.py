@@ -27,7 +27,7 @@ LATIN_TO_CYRILLIC = {v: k for k, v in reversed(CYRILLIC.items()) if v.isalpha()}
 INVISIBLE = frozenset("­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩ㅤ﻿ﾠ")
 # Java and Python: a character that plain Latin text does not hold.
 ODD = r"[^\x00-\x7F¡-¬®-ıĴ-ňŊ-žƀ-ǃǍ-ǰǴ-ɏ‐-‧‰-›€™]"
-VALUE = rf"[^ \n\t\r]*{ODD}[^ \n\t\r]*"
+VALUE = rf"(?<![^ \n\t\r])[^ \n\t\r]*?{ODD}[^ \n\t\r]*"  # starts only where a run starts, so that long runs take linear time
 _ODD = re.compile(ODD)
 
 

@@ -2,7 +2,8 @@
 
 Items of one owner are laid out by a histogram of their lengths in `bins` steps of the capacity, rounded up. Combinations
 of at most three steps that fill a container to within a window are the columns of a non-negative least-squares problem,
-whose solution says how often each is repeated; rounded down, they are filled with real items. What is left goes greedily,
+whose solution says how often each is repeated; rounded down, they are filled with real items, and kept where at most
+`slack` of the capacity stays unused. What is left goes greedily,
 longest first, into the container with the least sufficient room, new ones being opened only where none has room.
 
 An owner with many items is split into shards by a hash of the item, so that no task gets more than about `shard_rows`
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BINS, WINDOW, SHARD_ROWS = 32, 2, 5_000
+BINS, WINDOW, SLACK, SHARD_ROWS = 64, 1, 0.005, 5_000
 
 
 def combinations(present: list[int], bins: int = BINS, window: int = WINDOW) -> list[tuple[int, ...]]:
@@ -67,7 +68,7 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 200) -> np.ndarray:
     return x
 
 
-def pack(lengths: np.ndarray, capacity: int, bins: int = BINS, window: int = WINDOW) -> list[tuple[int, int, int, int]]:
+def pack(lengths: np.ndarray, capacity: int, bins: int = BINS, window: int = WINDOW, slack: float = SLACK) -> list[tuple[int, int, int, int]]:
     """(item, part, characters, container) rows: every item whole in one container unless it is longer than the capacity,
     in which case full parts get containers of their own and the rest is packed like an item."""
     rows: list[tuple[int, int, int, int]] = []
@@ -95,6 +96,7 @@ def pack(lengths: np.ndarray, capacity: int, bins: int = BINS, window: int = WIN
         rows.append((i, int(part[i]), int(rest[i]), c))
         room[c] -= int(rest[i])
 
+    residue: list[int] = []
     if combos:
         used = np.zeros((bins + 1, len(combos)))
         for k, combo in enumerate(combos):
@@ -108,11 +110,15 @@ def pack(lengths: np.ndarray, capacity: int, bins: int = BINS, window: int = WIN
                     need[s] = need.get(s, 0) + 1
                 if any(len(piles[s]) < n for s, n in need.items()):
                     break
+                picked = [piles[s].pop() for s in combos[k]]
+                if capacity - sum(int(rest[i]) for i in picked) > slack * capacity:
+                    residue += picked  # rounding up left too much unused: packed greedily below
+                    continue
                 room.append(capacity)
-                for s in combos[k]:
-                    put(piles[s].pop(), len(room) - 1)
+                for i in picked:
+                    put(i, len(room) - 1)
     free = sorted((r, c) for c, r in enumerate(room) if r > 0)
-    for i in sorted((i for pile in piles.values() for i in pile), key=lambda i: (-rest[i], i)):
+    for i in sorted([*residue, *(i for pile in piles.values() for i in pile)], key=lambda i: (-rest[i], i)):
         at = bisect_left(free, (int(rest[i]), -1))
         if at < len(free):
             _, c = free.pop(at)
