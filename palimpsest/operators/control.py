@@ -72,7 +72,7 @@ def limiter_replay(calls: DataFrame, rpm: int, period: int = 60) -> DataFrame:
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["ts", "seq"], kind="stable")
         lim, out = Limiter(rpm, period), []
-        for now in pdf["ts"].dt.to_pydatetime():
+        for now in (t.to_pydatetime() for t in pdf["ts"]):
             ok = lim.acquire(now)
             out.append((ok, lim.used_previous, lim.used_current, rpm if lim.remaining is None else lim.remaining))
         return pd.concat([pdf[["workflow", "ts", "seq"]].reset_index(drop=True), pd.DataFrame(out, columns=["allowed", "used_previous", "used_current", "remaining"])], axis=1)

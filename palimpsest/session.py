@@ -19,6 +19,7 @@ def build_session(app: str = "palimpsest", cpus: int | None = None, shuffle_part
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")  # Python stages over small tables keep their parallelism
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -87,7 +87,7 @@ class RateLimiter(StatefulProcessor):
             lim.last_success = datetime.fromtimestamp(last.timestamp()) if last is not None else None
         pdf = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
         out = []
-        for now in pdf["ts"].dt.to_pydatetime():
+        for now in (t.to_pydatetime() for t in pdf["ts"]):
             ok = lim.acquire(now)
             out.append((ok, lim.used_previous, lim.used_current, self.rpm if lim.remaining is None else lim.remaining))
         self.state.update((lim.used_previous, lim.used_current, self.rpm if lim.remaining is None else lim.remaining, lim.last_success))
