@@ -11,6 +11,7 @@ from palimpsest.operators.control import as_error
 from palimpsest.session import table
 from palimpsest.sources import blobs as B
 from palimpsest.sources import web
+from palimpsest.streaming.manage import due_again
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -307,3 +308,10 @@ def i3(spark, d):
 def i5(spark, d):
     rows = table(spark, d, "gold_labels", "label_id", "model_version", "practically_substantive")
     return rows.where("model_version is not null").unionByName(rows.where("model_version is null")).select("label_id", "practically_substantive")
+
+
+@query("S11_due_again", """SELECT company, policy FROM snapshot_index GROUP BY company, policy
+  HAVING max(CASE WHEN regexp_matches(capture_ts, '^[0-9]{14}$') THEN try_strptime(capture_ts, '%Y%m%d%H%M%S') END) IS NULL
+  OR max(CASE WHEN regexp_matches(capture_ts, '^[0-9]{14}$') THEN try_strptime(capture_ts, '%Y%m%d%H%M%S') END) <= TIMESTAMP '2022-12-25 00:00:00'""")
+def s11(spark, d):
+    return due_again(_index(spark, d), F.lit("2023-01-01 00:00:00").cast("timestamp")).select("company", "policy")
