@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.session import spread
+
 DELETE, INSERT, RELABEL, FORBIDDEN = 1.0, 1.0, 0.5, 1e6
 
 LEAVES_SCHEMA = "file_id long, record_id long, line_no int, summary_key string, path string, kind string, value string"
@@ -295,7 +297,7 @@ def retypings(scripts: DataFrame, order: DataFrame, fields: DataFrame) -> DataFr
     )
     thin = marked.where("was is null or was <> kind or epoch <> was_epoch").select("feed", "file_id", "seq", F.lit(1).alias("step"), "path", "kind", F.lit("").alias("old_field"))
     events = thin.unionByName(renames.select("feed", "file_id", "seq", F.lit(0).alias("step"), F.col("new_field").alias("path"), F.lit(None).cast("string").alias("kind"), "old_field"))
-    return events.groupBy("feed").applyInPandas(_follow, "file_id long, change_kind string, old_field string, new_field string")
+    return spread(events, "feed").groupBy("feed").applyInPandas(_follow, "file_id long, change_kind string, old_field string, new_field string")
 
 
 def schema_changes(records: DataFrame, files: DataFrame, cut=lambda df: df) -> DataFrame:
@@ -334,7 +336,7 @@ def unified_records(records: DataFrame, files: DataFrame, cut=lambda df: df) ->
     order = file_order(files.where("feed is not null and file_id is not null"))
     scripts = cut(edit_scripts(leaves, order, file_fields(leaves)))
     events = scripts.where("change_kind = 'renamed'").select("feed", "file_id", "seq", F.lit(0).alias("step"), F.col("new_field").alias("path"), "old_field")
-    compiled = events.groupBy("feed").applyInPandas(_compile, "file_id long, renames array<struct<path:string,canonical:string>>")
+    compiled = spread(events, "feed").groupBy("feed").applyInPandas(_compile, "file_id long, renames array<struct<path:string,canonical:string>>")
     by = Window.partitionBy("feed").orderBy("seq")
     plans = order.join(compiled, "file_id", "left").select("file_id", "feed", F.last("renames", ignorenulls=True).over(by).alias("renames"))
     rows = leaves.groupBy("record_id", "file_id").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("path", F.coalesce("value", F.lit("null")).alias("value"))))).alias("raw"))

@@ -51,6 +51,11 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows by keys over all shuffle partitions: few bytes that cost much Python each must not be coalesced into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 _SHIPPED: set[str] = set()
 
 
