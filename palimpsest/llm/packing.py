@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import spread
+
 BINS, WINDOW, SLACK, SHARD_ROWS = 64, 1, 0.005, 5_000
 
 
@@ -155,5 +157,5 @@ def containers(items: DataFrame, limits: list[tuple[str, int]], owner: str, item
             "part_no": got["part_no"], "part_chars": got["part_chars"], "container": f"{pdf['shard'].iloc[0]}-" + got["c"].astype(str),
         })
 
-    out = placed.groupBy("limit_name", "owner", "shard").applyInPandas(run, "limit_name string, owner string, item long, part_no int, part_chars long, container string")
+    out = spread(placed, "limit_name", "owner", "shard").groupBy("limit_name", "owner", "shard").applyInPandas(run, "limit_name string, owner string, item long, part_no int, part_chars long, container string")
     return out.withColumnsRenamed({"owner": owner, "item": item})
