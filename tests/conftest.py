@@ -10,7 +10,7 @@ from palimpsest.session import build_session, ship  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = ship(build_session("tests", cpus=4, shuffle_partitions=4))
+    s = ship(build_session("tests", cpus=8, shuffle_partitions=4))
     s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
 
