@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions.columns import entropy_of, words
 from palimpsest.functions.pages import tree_nodes_udf
 from palimpsest.functions.udfs import arrow_udf
 
@@ -70,6 +69,11 @@ def pool_udf(texts: pd.Series) -> pd.Series:
     return texts.map(lambda ts: None if ts is None else pool([t for t in ts if t is not None]))
 
 
+@arrow_udf("double")
+def entropy_udf(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else _Entropy().add(t))
+
+
 def ordered_texts(chunks: DataFrame, *group: str, order: str = "chunk_idx", text: str = "text") -> DataFrame:
     """One row a group with its texts in order (null texts left out)."""
     return chunks.where(F.col(text).isNotNull()).groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda r: r[text]).alias("texts"))
@@ -82,7 +86,8 @@ def pooled(chunks: DataFrame, *group: str, order: str = "chunk_idx") -> DataFram
 
 
 def with_entropy(chunks: DataFrame, text: str = "text") -> DataFrame:
-    return chunks.withColumn("entropy", entropy_of(words(text)))
+    """Word entropy of each text (null for null), counted in Arrow batches; entropy_of is the same as a column expression."""
+    return chunks.withColumn("entropy", entropy_udf(text))
 
 
 def length_stats(chunks: DataFrame, *group: str, text: str = "text") -> DataFrame:
