@@ -4,7 +4,8 @@ Clauses and words that are equal once characters outside ASCII are stripped are
 for the clean one. The runs of other characters are aligned at their places in the stripped text, and a transformation
 (bytes of one encoding read in another) that turns each differing run of one twin into the other's is inferred. The
 transformations so learned are applied to every word of the corpus. A repair holds if the corpus knows the repaired word
-better than the garbled one, or, for bytes of UTF-8, if it decodes throughout into characters the corpus uses.
+better than the garbled one, or, for bytes of UTF-8, if it decodes throughout into characters the corpus uses. The corpus
+is its distinct texts, so that copies of one garbled text do not outvote the clean ones.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ TRANSFORMATIONS = {f"{r}<-{b}" + "x2" * (n == 2): (r, b, n) for r, b, n in (*MUL
 _RUN = re.compile(r"[^\x00-\x7f]+")
 LOST = r"[\x{80}-\x{9f}\x{fffd}]"
 _LOST = re.compile("[\x80-\x9f�]")
+_SIGN = re.compile(r"[^\w\s‘’‚“”„‹›«»–—…]|[ªºµ_]")  # a sign that right words do not hold beside their letters
 WORD = r"(?<![^ \n\t\r])[^ \n\t\r]*?[^\x00-\x7F][^ \n\t\r]*"  # starts only where a run starts, so that long runs take linear time
 MIN_SUPPORT, MIN_SKELETON, STRONG, EVIDENT = 2, 4, 4, 20
 
@@ -83,8 +85,9 @@ def _infer_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(record, n): words with a character outside ASCII and the number of texts that hold them."""
-    held = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)))).alias("record"))
+    """(record, n): words with a character outside ASCII and the number of distinct texts that hold them."""
+    found = F.array_distinct(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0))).alias("words")
+    held = texts.where(F.col(text_col).rlike(r"[^\x00-\x7F]")).select(F.xxhash64(text_col).alias("h"), found).distinct().select(F.explode("words").alias("record"))
     return held.groupBy("record").agg(F.count("*").alias("n"))
 
 
@@ -98,34 +101,41 @@ def learned(texts: DataFrame, words: DataFrame, text_col: str) -> list[str]:
     return sorted(r["name"] for r in pairs.mapInArrow(_infer_all, "name string").groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT).collect())
 
 
-def _repairs_of(names: list[str], alphabet: frozenset[str]):
-    def fix(word: str, name: str) -> tuple[str, bool]:
-        """The word with each run undone that can be, and whether all characters so made are used in the corpus."""
-        sure = True
+def _repairs_of(names: list[str], often: dict[str, int]):
+    """often: the characters the corpus uses, with the number of times they are held."""
+
+    def fix(word: str, name: str, n: int) -> tuple[str, bool, bool]:
+        """The word with each run undone that can be, whether all characters so made are used in the corpus, and whether
+        no right word looks like the garbled one: it makes several characters, holds a sign or a capital after a small letter, or the
+        character it makes is held EVIDENT times as often."""
+        made, was = [], []
 
         def one(m: re.Match) -> str:
-            nonlocal sure
             new = undo(m.group(), name)
             if new is None:
                 return m.group()
-            sure &= all(c in alphabet for c in new)
+            made.extend(new)
+            was.append(m.group())
             return new
 
-        return _RUN.sub(one, word), sure
+        new = _RUN.sub(one, word)
+        sure = all(c in often for c in made)
+        clear = sure and (len(made) > 1 or any(_SIGN.search(g) for g in was) or any(a.islower() and b.isupper() for a, b in zip(word, word[1:])) or any(often[c] >= EVIDENT * n for c in made))
+        return new, sure, clear
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if "�" in word:
                     continue
                 for name in names:
-                    new, sure = fix(word, name)
+                    new, sure, clear = fix(word, name, n)
                     if new != word:
-                        for col, x in zip(out, (word, n, new, name, TRANSFORMATIONS[name][1] == "utf-8", sure)):
+                        for col, x in zip(out, (word, n, new, name, TRANSFORMATIONS[name][1] == "utf-8", sure, clear)):
                             col.append(x)
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["record", "n", "fixed", "name", "utf", "sure"])
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["record", "n", "fixed", "name", "utf", "sure", "clear"])
 
     return run
 
@@ -135,7 +145,8 @@ def repairs(texts: DataFrame, id_col: str, text_col: str, cut=lambda df: df) ->
 
     strong: enough by itself to tell that a text is garbled. Bytes of a one-byte encoding in a word of under STRONG
     characters are not, and count only beside a strong word garbled in the same way, unless the corpus holds the repaired
-    word EVIDENT times as often.
+    word EVIDENT times as often. Nor are bytes of UTF-8 that a right word could hold, unless the corpus knows the repaired
+    word better. Only shares of counts are compared, and counts are of distinct texts.
     """
     words = cut(vocabulary(texts, id_col, text_col))
     names = learned(texts, words, text_col)
@@ -144,14 +155,13 @@ def repairs(texts: DataFrame, id_col: str, text_col: str, cut=lambda df: df) ->
     # bounded by the characters of Unicode
     often = {r["ch"]: r["n"] for r in chars.collect()}
     least = max(3, sum(often.values()) // 100_000)
-    alphabet = frozenset(c for c, n in often.items() if n >= least)
-    tried = words.mapInArrow(_repairs_of(names, alphabet), "record string, n long, fixed string, name string, utf boolean, sure boolean")
+    tried = words.mapInArrow(_repairs_of(names, {c: n for c, n in often.items() if n >= least}), "record string, n long, fixed string, name string, utf boolean, sure boolean, clear boolean")
     known = tried.join(clean.select(F.col("record").alias("fixed"), F.col("n").alias("m")), "fixed", "left").withColumn("m", F.coalesce("m", F.lit(0)))
-    held = known.where((F.col("m") >= 2 * F.col("n")) | (F.col("utf") & ((F.col("m") > F.col("n")) | (F.col("sure") & (F.col("m") + 3 > F.col("n")))))).withColumn(
-        "rank", F.struct("m", F.col("utf"), -F.length("fixed"), "fixed", "name", "n")
+    held = known.where((F.col("m") >= 2 * F.col("n")) | (F.col("utf") & ((F.col("m") > F.col("n")) | F.col("sure")))).withColumn(
+        "rank", F.struct("m", F.col("utf"), -F.length("fixed"), "fixed", "name", "n", "clear")
     )
     mapped = held.groupBy("record").agg(F.max("rank").alias("r")).select(
-        "record", F.col("r.fixed").alias("fixed"), F.col("r.name").alias("name"), (F.col("r.utf") | (F.length("record") >= STRONG) | ((F.col("r.m") >= EVIDENT) & (F.col("r.m") >= EVIDENT * F.col("r.n")))).alias("strong")
+        "record", F.col("r.fixed").alias("fixed"), F.col("r.name").alias("name"), F.when(F.col("r.utf"), F.col("r.clear") | (F.col("r.m") > F.col("r.n"))).otherwise((F.length("record") >= STRONG) | ((F.col("r.m") >= EVIDENT) & (F.col("r.m") >= EVIDENT * F.col("r.n")))).alias("strong")
     )
     # what was lost in decoding can only come back from a twin
     skeleton = F.regexp_replace("record", r"[^\x00-\x7F]+", "")

@@ -27,3 +27,22 @@ def test_found_and_restored(spark):
 def test_clean_and_empty(spark):
     assert garbled_words(frame(spark, [])).count() == 0
     assert garbled_words(spark.createDataFrame([], SCHEMA)).count() == 0 and restored(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_garbled_copies_do_not_outvote(spark):
+    clean = [f"Für die Größe gelten übliche Gebühren, siehe Anhang {i}.\nL’équipe vérifie le crédit “{i}” – même si c’est âgé." for i in range(30)]
+    wrong = "Für die Größe gelten übliche Gebühren, siehe Anhang 3."
+    for bad in (wrong.encode().decode("cp1252"), wrong.encode("cp1252").decode("mac_roman")):
+        # a third of the rows are copies of one garbled text, one more is alike
+        texts = [*clean, *[bad] * 20, bad.replace("3", "4"), *["plain"] * 10]
+        df = spark.createDataFrame([(i, t, "r", "f") for i, t in enumerate(texts)], SCHEMA)
+        got = {r.doc_id: r for r in restored(df).collect()}
+        assert set(got) == set(range(30, 51)) and all(r.fully for r in got.values())
+        assert {got[i].text for i in range(30, 50)} == {wrong}
+
+
+def test_garbled_near_copies_do_not_outvote(spark):
+    clean = [f"Für die Größe gelten übliche Gebühren, siehe Anhang {i}." for i in range(20)]
+    texts = [*clean, *[f"Für die Größe gelten übliche Gebühren, siehe Anhang {i}.".encode().decode("cp1252") for i in range(20, 60)]]
+    df = spark.createDataFrame([(i, t, "r", "f") for i, t in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in restored(df).where("fully").collect()} == set(range(20, 60))
