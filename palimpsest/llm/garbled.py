@@ -1,8 +1,9 @@
 """Text decoded with the wrong character encoding (problem 10).
 
-Clauses and words that are equal once characters outside ASCII are stripped are near-twins; the most frequent of them stands
-for the clean one. The runs of other characters are aligned at their places in the stripped text, and a transformation
-(bytes of one encoding read in another) that turns each differing run of one twin into the other's is inferred. The
+Clauses and words that are equal once characters outside ASCII are stripped are near-twins. A transformation (bytes of one
+encoding read in another) that turns the runs of other characters of one twin into the other's is inferred: the runs of
+every clause and word are undone by every transformation, and what comes out is looked up among all clauses and words. The
+most frequent twin is also aligned run by run with the others, so that clauses garbled only in places tell as well. The
 transformations so learned are applied to every word of the corpus. A repair holds if the corpus knows the repaired word
 better than the garbled one, or, for bytes of UTF-8, if it decodes throughout into characters the corpus uses. The corpus
 is its distinct texts, so that copies of one garbled text do not outvote the clean ones.
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,27 +80,60 @@ def infer(a: str, b: str) -> list[str]:
     return [n for n in TRANSFORMATIONS if all(undo(g, n) == c for g, c in differ) or all(undo(c, n) == g for g, c in differ)] if differ else []
 
 
-def _infer_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        names = [n for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for n in infer(x, y)]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+def _digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _undo_all(used: frozenset[str]):
+    """(h, name, own, told) from (record, twin): the digest of the record without a name, the digest of every form it has with its
+    runs undone beside its own, and, matched already, those of the twins that tell run by run. used: all characters of the
+    records; a form with another one is no record."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(maxsize=100_000)
+        def ways(run: str) -> dict[str, str]:
+            got = ((n, undo(run, n)) for n in TRANSFORMATIONS)
+            return {n: new for n, new in got if new is not None and new != run and used.issuperset(new)}
+
+        def forms(record: str) -> dict[str, str]:
+            """By transformation the record with each run undone that can be."""
+            swaps = {r: ways(r) for r in set(_RUN.findall(record))}
+            return {n: _RUN.sub(lambda m: swaps[m.group()].get(n, m.group()), record) for n in {n for w in swaps.values() for n in w}}
+
+        for b in batches:
+            rows: list[tuple[int, str | None, int, bool]] = []
+            for record, twin in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = _digest(record)
+                rows.append((own, None, own, False))
+                rows += ((_digest(form), n, own, False) for n, form in forms(record).items())
+                if twin != record:
+                    rows += ((_digest(twin), n, own, True) for n in infer(record, twin))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["h", "name", "own", "told"])
+
+    return run
 
 
 def vocabulary(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(record, n): words with a character outside ASCII and the number of distinct texts that hold them."""
     found = F.array_distinct(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0))).alias("words")
-    held = texts.where(F.col(text_col).rlike(r"[^\x00-\x7F]")).select(F.xxhash64(text_col).alias("h"), found).distinct().select(F.explode("words").alias("record"))
+    held = texts.where(F.length(text_col) < F.octet_length(text_col)).select(F.xxhash64(text_col).alias("h"), found).distinct().select(F.explode("words").alias("record"))
     return held.groupBy("record").agg(F.count("*").alias("n"))
 
 
 def learned(texts: DataFrame, words: DataFrame, text_col: str) -> list[str]:
-    """Transformations inferred from at least MIN_SUPPORT pairs of twins (at most as many as there are transformations)."""
+    """Transformations inferred from at least MIN_SUPPORT distinct pairs of twins (at most as many as there are transformations)."""
     lines = texts.select(F.explode(F.split(text_col, r"[\n.,;:!?]+")).alias("record")).where(F.col("record").rlike(r"[^\x00-\x7F]")).groupBy("record").agg(F.count("*").alias("n"))
     records = lines.unionByName(words).withColumn("skeleton", F.regexp_replace("record", r"[^\x00-\x7F]+", "")).where(F.length("skeleton") >= MIN_SKELETON)
     keyed = records.select("record", F.xxhash64("skeleton").alias("k"), F.struct("n", -F.length("record"), "record").alias("rank"))
     twins = keyed.groupBy("k").agg(F.max("rank").alias("best"), F.count("*").alias("c")).where("c > 1").select("k", F.col("best.record").alias("twin"))
-    pairs = keyed.join(twins, "k").where("record <> twin").select("record", "twin")
-    return sorted(r["name"] for r in pairs.mapInArrow(_infer_all, "name string").groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT).collect())
+    # bounded by the characters of Unicode
+    used = frozenset(r["ch"] for r in words.select(F.explode(F.regexp_extract_all("record", F.lit(r"[^\x00-\x7F]"), F.lit(0))).alias("ch")).distinct().collect())
+    forms = keyed.join(twins, "k").select("record", "twin").mapInArrow(_undo_all(used), "h long, name string, own long, told boolean")
+    # a form is matched where some record has its digest
+    there = forms.groupBy("h").agg(F.bool_or(F.col("name").isNull()).alias("held"), F.collect_set(F.when(F.col("name").isNotNull(), F.struct("name", "own", "told"))).alias("by"))
+    pairs = there.select("held", "h", F.explode("by").alias("b")).where("held or b.told").select("b.name", F.least("h", "b.own").alias("one"), F.greatest("h", "b.own").alias("other")).distinct()
+    return sorted(r["name"] for r in pairs.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT).collect())
 
 
 def _repairs_of(names: list[str], often: dict[str, int]):
