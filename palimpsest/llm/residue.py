@@ -223,7 +223,7 @@ class Matcher:
         if text in self.seen:
             return self.seen[text]
         hit = self.window(text)
-        if hit is None and len(text) < 400:
+        if hit is None:
             parts = _SENTENCE.split(text)
             if len(parts) > 1:
                 hit = next((h for h in map(self.window, parts) if h), None)
@@ -237,7 +237,7 @@ def residue_windows(texts: DataFrame, id_col: str = "chunk_id", text_col: str =
     """(id, line_no, exemplar, containment, coverage) of every line that is residue or holds a sentence that is.
 
     Null and empty texts hold none; other columns are ignored; repeated rows are repeated. Sentences of a line are windows
-    of their own in lines under 400 characters; longer lines are judged as wholes and for unfilled places.
+    of their own, however long the line is.
     """
     idf = idf_of(texts, text_col)
 

@@ -37,3 +37,10 @@ def test_tokens():
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert residue_windows(df).count() == 0 and marked(df).count() == 0
+
+
+def test_sentences_of_long_lines(spark):
+    fill = " ".join(FILLING.format(i, i % 7) for i in range(2000))
+    long = [f"{fill} {notice} {fill}" for notice in ("Please enable JavaScript to view this page.", "The site is down for maintenance; we will be back soon.")]
+    got = {r.chunk_id: r.is_residue for r in marked(frame(spark, [*long, fill])).collect()}
+    assert got[0] and got[1] and not got[2]
