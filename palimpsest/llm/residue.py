@@ -204,10 +204,10 @@ class Matcher:
     def window(self, text: str) -> tuple[int, float, float] | None:
         """(exemplar, containment, coverage) of the best exemplar of a window, or None."""
         bag = Counter(tokens(text))
-        if SLOT_TOKEN in bag:
-            return 0, 1.0, 1.0
         known = sum(self.idf[t] * n for t, n in bag.items() if t in self.postings)
         total = known + self.other * sum(n for t, n in bag.items() if t not in self.postings)
+        if SLOT_TOKEN in bag:  # decided by its pattern, however little of the window it covers
+            return 0, 1.0, self.idf[SLOT_TOKEN] * bag[SLOT_TOKEN] / total
         if not known or known < self.coverage * total:
             return None
         shared: dict[int, float] = defaultdict(float)

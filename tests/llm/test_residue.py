@@ -44,3 +44,8 @@ def test_sentences_of_long_lines(spark):
     long = [f"{fill} {notice} {fill}" for notice in ("Please enable JavaScript to view this page.", "The site is down for maintenance; we will be back soon.")]
     got = {r.chunk_id: r.is_residue for r in marked(frame(spark, [*long, fill])).collect()}
     assert got[0] and got[1] and not got[2]
+
+
+def test_coverage_of_unfilled_places(spark):
+    a, b = residue_windows(frame(spark, [BAD[0], "{{ company }}"])).orderBy("chunk_id").collect()
+    assert a.containment == b.containment == 1 and 0 < a.coverage < 0.7 and b.coverage == 1
