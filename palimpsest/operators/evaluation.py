@@ -66,6 +66,7 @@ def metrics(both: DataFrame) -> DataFrame:
 
 
 def report_html(scores: DataFrame, most_rows: int = 1000) -> str:
-    """The scores as an HTML table, or a message where there are none."""
-    rows = scores.limit(most_rows).toPandas()
-    return rows.to_html(index=False) if len(rows) else "No labels to evaluate."
+    """The scores in order as an HTML table, or a message where there are none; beyond `most_rows` it says how many there are."""
+    rows = scores.orderBy(*scores.columns).limit(most_rows + 1).toPandas()
+    more = f"<p>First {most_rows} of {scores.count()} rows.</p>" if len(rows) > most_rows else ""
+    return more + rows[:most_rows].to_html(index=False) if len(rows) else "No labels to evaluate."
