@@ -1,9 +1,13 @@
 """Template residue, filler, error pages and script notices (problem 4).
 
-Labelled exemplars of residue are held in an inverted index from token to exemplars. The windows of a text are its lines
-and their sentences; a window retrieves the exemplars it shares tokens with, and TF-IDF containment says how much of an
-exemplar it holds and how much of the window the exemplar covers. Windows high in both are residue. Document frequencies
-of the exemplars' tokens are counted over the whole corpus.
+Labelled exemplars of residue, and of policy sentences that merely speak of the same things, are held in an inverted
+index. The passage windows of a text are its lines, their sentences and the marked places within them (`{{name}}`,
+`[insert date]`). A window retrieves the exemplars that it shares a rare token with; TF-IDF containment says how much of an
+exemplar it holds, coverage how much of the window the exemplars of that kind explain. Windows high in both are residue,
+unless an exemplar of a policy sentence fits better. Document frequencies are counted over the whole corpus.
+
+An exemplar is posted under its heaviest tokens only, those of which any sufficient containment must hold at least one; so
+most texts are passed over after one look at their words, and nothing is lost.
 """
 
 from __future__ import annotations
@@ -12,244 +16,250 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.lookalikes import looks_like
+from palimpsest.llm.residue_exemplars import CUES, EXEMPLARS, FILLER_SEEDS
 
-# Forms of unfilled places (Java and Python alike); an identifier has no spaces or commas.
-SLOT = (
-    r"\{\{\{?\s*[\w.|-]+\s*\}\}\}?|\{%-?\s*[\w. ]+?\s*-?%\}|<%[=-]?\s*[\w.]+\s*-?%>|[$#@]\{\s*[\w.]+\s*\}|\{[A-Za-z]\w*(?:[._]\w+)+\}|\{[A-Za-z]\w{2,}\}"
-    r"|\[\[\s*[\w.]+\s*\]\]|\[\s*[●•…_.]+\s*\]|\[(?:INSERT|Insert|insert|ENTER|Enter|enter|ADD|Add|add)\s[^\]\n]{1,60}\]|\[(?:YOUR|Your|your)\s[^\]\n]{1,60}\]"
-    r"|\[[^\]\n]{1,60}\s(?:to be (?:added|inserted|confirmed|completed)|TO BE (?:ADDED|INSERTED|CONFIRMED|COMPLETED)|here|HERE)\]|<[A-Za-z][\w .]{0,60}\s(?:HERE|here)>|<(?:INSERT|Insert|insert)\s[^>\n]{1,60}>"
-    r"|«[A-Z][A-Z ]{2,}»|%%[\w .]{1,60}%%|@@[\w.]{1,60}@@|__[A-Za-z][A-Za-z .]{0,60}(?:_[A-Za-z]+)*__"
-)
-_SLOT = re.compile(SLOT)
-_TOKEN = re.compile(r"⟨\w+⟩|[^\W_]+")
+#: Least containment where the exemplars of a kind explain a window together, and where one does so alone; least coverage by one, by a kind, of a clause.
+CONTAINMENT, OWN_CONTAINMENT, COVERAGE, KIND_COVERAGE, CLAUSE_COVERAGE = 0.6, 0.7, 0.65, 0.8, 0.9
+FILLER_WORDS = 20_000  # most words of filler the model learns, the most frequent first
+NUMBER, FILLER, FIELD, BLANK = "0", "⟨filler⟩", "⟨field⟩", "⟨blank⟩"
+
+_TOKEN = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
-_FILL = re.compile(r"\b(?:x{2,}|\.{4,}|_{4,})\b", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
-SLOT_TOKEN, NUMBER, FILLER_TOKEN = "⟨slot⟩", "0", "⟨filler⟩"
-# Words of filler text in mock Latin.
-FILLER = frozenset(
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore magna aliqua enim veniam quis nostrud exercitation ullamco "
-    "laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat "
-    "proident culpa officia deserunt mollit anim laborum varem tempis ullam noscera amenta doluit velitas quorem proidam sitam vexitur magnis estum mollira "
-    "consequor ipsara culpat laboret".split()
+_CLAUSE = re.compile(r"\s*[,;:(–—]\s*|\s+-\s+")
+_DOTS = re.compile(r"\b(?:x{3,}|\.{4,}|_{4,})\b", re.I)
+#: Signs that can open a marked place, and marked places by their signs.
+_OPEN = re.compile(r"[\[{<«]|%%|@@|__")
+_PLACE = re.compile(
+    r"(\{\{\{?)([^{}\n]*)(\}?\}\})|(\{%-?)([^%\n]*)(%\})|(<%[=-]?)([^%\n]*)(%>)|([$#@]\{)([^{}\n]*)(\})|(\{)([^{}\n]*)(\})"
+    r"|(\[\[)([^\[\]\n]*)(\]\])|(\[)([^\[\]\n]*)(\])|(<)([^<>\n]*)(>)|(«)([^«»\n]*)(»)|(%%)([^%\n]+)(%%)|(@@)([^@\n]+)(@@)|(__)(?=\S)([^\n]*?)(?<=\S)(__)"
 )
+_NAME = re.compile(r"[-\s|]*[^\W\d][\w]*(?:[.\-|:][\w]+)*[-\s|]*")
+_CAPITALS = re.compile(r"[A-Z][A-Z _-]+")
+_SIGNS_ONLY = re.compile(r"[\s●•…_.]+")
+#: One sign stands for all that open the same kind of place.
+_SAME = {"{{{": "{{", "{%-": "{%", "<%=": "<%", "<%-": "<%", "#{": "${", "@{": "${"}
+
+
+def words(window: str) -> list[str]:
+    """Words of a window in lower case; each number, code or hash is 0, a run of filler signs 'xxxx'."""
+    w = window if window.isascii() else looks_like(window)
+    if "xx" in w or "XX" in w or "...." in w or "____" in w:
+        w = _DOTS.sub(" xxxx ", w)
+    toks = _TOKEN.findall(w.casefold())
+    return [t if t.isalpha() or not _DIGIT.search(t) else NUMBER for t in toks] if _DIGIT.search(w) else toks
+
+
+def places(line: str) -> list[list[str]]:
+    """Tokens of each marked place of a line: the opening sign, what stands within, and the closing sign.
+
+    Between square or angle brackets, each run of words other than CUES is one field. Elsewhere a name in the manner of a
+    variable is a field, and so are capitals within « », %%, @@ or __. Dots and blanks are one blank.
+    """
+    out = []
+    if _OPEN.search(line):
+        for m in _PLACE.finditer(line):
+            at = m.lastindex
+            sign, inner = m.group(at - 2), m.group(at - 1)
+            sign = _SAME.get(sign, sign)
+            if not inner.strip():
+                continue
+            inside = words(inner)
+            if _SIGNS_ONLY.fullmatch(inner):
+                body = [BLANK]
+            elif sign in ("[", "<"):
+                body = [t for t, _ in groupby(t if t in CUES else FIELD for t in inside)]
+            elif sign in ("«", "__", "%%", "@@"):
+                body = [FIELD] if _CAPITALS.fullmatch(inner) or sign != "«" and len(inside) <= 4 else inside
+            else:
+                body = [FIELD] if _NAME.fullmatch(inner) and (sign != "{" or len(inner.strip()) > 2) else inside
+            out.append(["open " + sign, *body, "close " + sign])
+    return out
+
 
-# Labelled residue. The first holds for every unfilled place, whatever its form.
-EXEMPLARS = [
-    "⟨slot⟩",
-    "Lorem ipsum dolor",
-    "Ut enim ad minim veniam",
-    "asdf asdf qwer asdf",
-    "asdf jkl qwerty",
-    "test test test 0",
-    "this is a test",
-    "foo bar baz",
-    "xxxx xxxx xxxx",
-    "TODO: write section 0",
-    "TODO: add text",
-    "TBD to be determined",
-    "TBD - text from legal pending 0",
-    "FIXME: fix this section",
-    "Draft do not publish",
-    "DRAFT v0 for internal review, do not publish",
-    "Draft version, not for publication",
-    "Your text here. Add a heading. Add a caption.",
-    "Type your content here...",
-    "Enter your text here",
-    "Click here to edit this text",
-    "Click to edit",
-    "Sample text goes here. Replace this paragraph with your own wording.",
-    "Dummy copy for layout only, block 0 of 0.",
-    "Dummy text of the printing and typesetting industry",
-    "This is a placeholder paragraph. Click to edit.",
-    "Placeholder text, to be replaced",
-    "Coming soon. Content to follow.",
-    "This page is under construction",
-    "Content goes here",
-    "Insert text here",
-    "500 Internal Server Error",
-    "404 Not Found",
-    "404 Page not found",
-    "Error 404: page not found",
-    "403 Forbidden",
-    "HTTP/1.1 403 Forbidden",
-    "HTTP/1.1 500 Internal Server Error",
-    "HTTP Error 503. The service is unavailable.",
-    "502 Bad Gateway",
-    "503 Service Unavailable",
-    "503 Service Temporarily Unavailable",
-    "504 Gateway Timeout",
-    "504 Gateway Time-out",
-    "429 Too Many Requests",
-    "400 Bad Request",
-    "401 Unauthorized",
-    "410 Gone",
-    "nginx/0.0.0",
-    "The page you requested could not be found.",
-    "The page you are looking for does not exist or has been moved.",
-    "Sorry, this page does not exist.",
-    "Oops! That page can't be found.",
-    "The requested URL was not found on this server.",
-    "Page not found",
-    "Access denied",
-    "Access to this page has been denied",
-    "You do not have permission to access this page on this server.",
-    "Your access has been blocked. Reference ID 0",
-    "Your request has been blocked by our security service",
-    "Your IP address has been blocked",
-    "Sorry, you have been blocked",
-    "Please verify you are a human",
-    "Please complete the captcha to continue",
-    "Unusual traffic from your network was detected",
-    "Checking your browser before you enter. This takes up to 0 seconds.",
-    "Checking your browser before accessing. Ray ID 0",
-    "Just a moment...",
-    "Ray 0",
-    "Traceback id 0",
-    "Gateway timeout after 0 s - edge node 0",
-    "Oops! We can’t seem to find the page you’re looking for.",
-    "The page you asked for is not on this server.",
-    "This page has moved or no longer exists. Go to the home page or use the search.",
-    "Loading... if nothing happens, allow scripts for this site 0.",
-    "The site is down for maintenance; we will be back soon.",
-    "We are down for scheduled maintenance. Please check back soon.",
-    "This service is temporarily unavailable due to maintenance",
-    "Sorry, something went wrong on our side. Please try again later.",
-    "An error occurred while processing your request.",
-    "An unexpected error has occurred. Please try again later.",
-    "Fatal error: cannot connect to database on line 0",
-    "Error establishing a database connection",
-    "Warning: undefined variable on line 0",
-    "Uncaught exception: stack trace follows on line 0",
-    "The request timed out",
-    "Your session has expired. Please log in again.",
-    "Too many requests, slow down",
-    "Too many requests. Slow down and retry in 0 seconds.",
-    "You do not have permission to view this resource. Reference 0",
-    "Object reference not set. at Render.Page:0",
-    "Object reference not set to an instance of an object.",
-    "Traceback (most recent call last)",
-    "Please verify that you are human to proceed. Token 0",
-    "Your session has expired. Log in again to continue.",
-    "Error 503: service unavailable. Request 0",
-    "This site requires scripts. Turn them on in your browser and reload.",
-    "Please enable JavaScript to view this page.",
-    "You need to enable JavaScript to run this app.",
-    "JavaScript is disabled. Activate it to continue reading.",
-    "JavaScript is required to use this site.",
-    "Your browser does not support scripts or has them switched off, so this document cannot be shown.",
-    "noscript: content unavailable without script support",
-    "Enable JavaScript and cookies to continue",
-    "Bitte aktivieren Sie JavaScript, um diese Seite anzuzeigen.",
-    "Seite nicht gefunden",
-    "Wegen Wartungsarbeiten ist diese Seite nicht erreichbar.",
-    "Veuillez activer JavaScript pour afficher cette page.",
-    "Page introuvable",
-    "Active JavaScript para ver esta página.",
-    "Página no encontrada",
-]
-
-CONTAINMENT, COVERAGE = 0.8, 0.7
-
-
-def tokens(window: str) -> list[str]:
-    """Tokens of a window: words in lower case, each number, code or hash as 0, each unfilled place and each word of mock Latin and each run of
-    filler signs as one."""
-    w = _SLOT.sub(" ⟨slot⟩ ", window)
-    w = _FILL.sub(" xxxx ", w)
-    return [NUMBER if _DIGIT.search(t) else FILLER_TOKEN if t in FILLER else t for t in _TOKEN.findall(w.casefold() if w.isascii() else looks_like(w).casefold())]
-
-
-def index() -> tuple[list[Counter], dict[str, list[tuple[int, int]]]]:
-    """Exemplars as token counts, and the inverted index: token -> (exemplar, count) postings."""
-    bags = [Counter(tokens(e)) for e in EXEMPLARS]
-    postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
-    for k, bag in enumerate(bags):
-        for t, n in bag.items():
-            postings[t].append((k, n))
-    return bags, dict(postings)
-
-
-def idf_of(texts: DataFrame, text_col: str) -> dict[str, float]:
-    """Smoothed inverse document frequency of the exemplars' tokens over all texts (as many rows as exemplar tokens)."""
-    vocabulary = sorted(index()[1])
-    words = F.split(F.lower(text_col), r"[^\p{L}]+")
-    held = F.array_compact(
-        F.concat(
-            F.array_intersect(words, F.array(*[F.lit(t) for t in vocabulary if t.isalpha()])),
-            F.array(F.when(F.col(text_col).rlike(r"\d"), F.lit(NUMBER)), F.when(F.col(text_col).rlike(SLOT), F.lit(SLOT_TOKEN)), F.when(F.arrays_overlap(words, F.array(*[F.lit(t) for t in sorted(FILLER)])), F.lit(FILLER_TOKEN)), F.lit("")),
-        )
-    )
-    counts = {r.t: r.n for r in texts.where(F.col(text_col).isNotNull()).select(F.explode(held).alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
-    n = counts.pop("", 0)
-    return {t: math.log((n + 1) / (counts.get(t, 0) + 1)) + 1 for t in vocabulary}
+def exemplar_bags() -> list[tuple[str, Counter]]:
+    """(kind, tokens) of every exemplar. An exemplar that is one marked place alone has the tokens of a place."""
+    out = []
+    for kind, text in EXEMPLARS:
+        marked = places(text) if kind == "place" else []
+        out.append((kind, Counter(marked[0] if marked else [FILLER if t in FILLER_SEEDS else t for t in words(text)])))
+    return out
+
+
+def _seen_tokens(text: str) -> set[str]:
+    found = set(words(text))
+    for p in places(text):
+        found.update(p)
+    return found
+
+
+def corpus_counts(texts: DataFrame, text_col: str, flush: int = 200_000) -> DataFrame:
+    """(token, n, n_filler): texts that hold a token, and texts that hold it in a line beside two words of known filler.
+
+    The row of the empty token counts all texts. Counts are added up within a task before they are shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, beside = Counter(), Counter()
+
+        def out() -> pa.RecordBatch:
+            keys = list(held)
+            b = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([held[k] for k in keys], pa.int64()), pa.array([beside[k] for k in keys], pa.int64())], names=["token", "n", "n_filler"])
+            held.clear(), beside.clear()
+            return b
+
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                found = _seen_tokens(text)
+                held[""] += 1
+                held.update(found)
+                known = found & FILLER_SEEDS
+                if known:
+                    held[FILLER] += 1
+                    if len(known) > 1:
+                        near: set[str] = set()
+                        for line in text.split("\n"):
+                            bag = set(words(line))
+                            if len(bag & FILLER_SEEDS) > 1:
+                                near |= bag
+                        beside.update(near)
+            if len(held) > flush:
+                yield out()
+        yield out()
+
+    rows = texts.select(text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, "token string, n long, n_filler long")
+    return rows.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_filler").alias("n_filler"))
+
+
+class Model:
+    """Weights of tokens and the words of filler, as counted over a corpus."""
+
+    def __init__(self, n_texts: int, counts: dict[str, int], filler: frozenset[str]):
+        vocabulary = {t for _, bag in exemplar_bags() for t in bag}
+        self.filler = filler | FILLER_SEEDS
+        self.idf = {t: math.log((n_texts + 1) / (counts.get(t, 0) + 1)) + 1 for t in vocabulary}
+        self.other = sorted(self.idf.values())[len(self.idf) // 2]  # weight of a token that no exemplar holds
+
+
+def fit(texts: DataFrame, text_col: str) -> Model:
+    """Counts the exemplars' tokens over all texts, and learns the words that stand beside known filler and hardly elsewhere.
+
+    The driver gets as many rows as exemplars have tokens, and at most FILLER_WORDS words of filler.
+    """
+    vocabulary = sorted({t for _, bag in exemplar_bags() for t in bag} | {""})
+    counted = corpus_counts(texts, text_col)
+    known = F.col("token").isin(vocabulary)
+    learned = ~known & (F.col("n_filler") >= 2) & (F.col("n_filler") >= 0.8 * F.col("n")) & ~F.col("token").isin(*sorted(FILLER_SEEDS), NUMBER)
+    kept = counted.where(known | learned).select("token", "n", known.alias("known")).orderBy(F.desc("known"), F.desc("n"), "token").limit(len(vocabulary) + FILLER_WORDS)
+    counts, filler = {}, set()
+    for r in kept.collect():
+        if r.known:
+            counts[r.token] = r.n
+        else:
+            filler.add(r.token)
+    return Model(counts.pop("", 0), counts, frozenset(filler))
 
 
 class Matcher:
-    """Scores windows against the exemplars; verdicts on lines are kept, up to `keep` of them."""
-
-    def __init__(self, idf: dict[str, float], containment: float = CONTAINMENT, coverage: float = COVERAGE, keep: int = 150_000):
-        self.idf, self.containment, self.coverage, self.keep = idf, containment, coverage, keep
-        self.bags, self.postings = index()
-        self.other = sorted(idf.values())[len(idf) // 2]  # weight of a token that no exemplar holds
-        self.weight = [sum(idf[t] * n for t, n in bag.items()) for bag in self.bags]
-        self.seen: dict[str, tuple[int, float, float] | None] = {}
-
-    def window(self, text: str) -> tuple[int, float, float] | None:
-        """(exemplar, containment, coverage) of the best exemplar of a window, or None."""
-        bag = Counter(tokens(text))
-        known = sum(self.idf[t] * n for t, n in bag.items() if t in self.postings)
-        total = known + self.other * sum(n for t, n in bag.items() if t not in self.postings)
-        if SLOT_TOKEN in bag:  # decided by its pattern, however little of the window it covers
-            return 0, 1.0, self.idf[SLOT_TOKEN] * bag[SLOT_TOKEN] / total
-        if not known or known < self.coverage * total:
+    """Scores windows against the exemplars."""
+
+    def __init__(self, model: Model):
+        self.idf, self.other, self.filler = model.idf, model.other, model.filler
+        bags = exemplar_bags()
+        self.kind = [k for k, _ in bags]
+        self.bags = [bag for _, bag in bags]
+        self.weight = [sum(self.idf[t] * n for t, n in bag.items()) for bag in self.bags]
+        self.of_kind: dict[str, set[str]] = defaultdict(set)
+        self.heads: dict[str, list[int]] = defaultdict(list)
+        for k, (kind, bag) in enumerate(bags):
+            self.of_kind[kind] |= bag.keys()
+            spare = (1 - CONTAINMENT) * self.weight[k]
+            for t in sorted(bag, key=lambda t: (-self.idf[t] * bag[t], t)):  # without all of these too little would be left
+                self.heads[t].append(k)
+                spare -= self.idf[t] * bag[t]
+                if spare < 0:
+                    break
+        self.looked_for = frozenset(t for t, ks in self.heads.items() if any(self.kind[k] != "policy" for k in ks)) - {FILLER} | self.filler
+
+    def window(self, toks: list[str], clause: bool = False) -> tuple[int, float, float] | None:
+        """(exemplar, containment, coverage) of the best exemplar of a window of residue, or None. The exemplars explain more of a clause."""
+        bag = Counter([FILLER if t in self.filler else t for t in toks])
+        near = {k for t in bag for k in self.heads.get(t, ())}
+        if all(self.kind[k] == "policy" for k in near):
+            return None
+        idf, other = self.idf, self.other
+        total = sum(idf.get(t, other if len(t) > 1 else 1.0) * n for t, n in bag.items())
+        own_least, kind_least = (CLAUSE_COVERAGE,) * 2 if clause else (COVERAGE, KIND_COVERAGE)
+        best, against = None, 0.0
+        explained: dict[str, float] = {}
+        for k in near:
+            own, kind = self.bags[k], self.kind[k]
+            held = sum(idf[t] * min(n, bag[t]) for t, n in own.items() if t in bag) / self.weight[k]
+            if held < CONTAINMENT or kind == "place" and held < 0.999:
+                continue
+            share = sum(idf[t] * bag[t] for t in own if t in bag) / total
+            if kind not in explained:
+                vocab = self.of_kind[kind]
+                explained[kind] = sum(idf[t] * n for t, n in bag.items() if t in vocab) / total
+            if kind == "policy":
+                against = max(against, min(held, share))
+            elif share >= own_least and held >= OWN_CONTAINMENT or explained[kind] >= kind_least:
+                found = (max(share, explained[kind]), held, -k)
+                best = max(best, found) if best else found
+        return (-best[2], best[1], best[0]) if best and best[0] >= against else None
+
+    def line(self, line: str) -> tuple[int, float, float] | None:
+        """The first window of a line that is residue: the line, a marked place, a sentence, the clause a sentence begins with."""
+        toks, marked_places = words(line), places(line)
+        seen = not self.looked_for.isdisjoint(toks)
+        if seen and (hit := self.window(toks)) is not None:
+            return hit
+        for p in marked_places:
+            if (hit := self.window(p)) is not None:
+                return hit
+        if not seen:
             return None
-        shared: dict[int, float] = defaultdict(float)
-        covered: dict[int, float] = defaultdict(float)
-        for t, n in bag.items():
-            for k, m in self.postings.get(t, ()):
-                shared[k] += self.idf[t] * (n if n < m else m)
-                covered[k] += self.idf[t] * n
-        best = max(((s / self.weight[k], covered[k] / total, k) for k, s in shared.items()), key=lambda x: (min(x[0], x[1]), x[0], -x[2]))
-        return (best[2], best[0], best[1]) if best[0] >= self.containment and best[1] >= self.coverage else None
-
-    def line(self, text: str) -> tuple[int, float, float] | None:
-        if text in self.seen:
-            return self.seen[text]
-        hit = self.window(text)
-        if hit is None:
-            parts = _SENTENCE.split(text)
-            if len(parts) > 1:
-                hit = next((h for h in map(self.window, parts) if h), None)
-        if len(self.seen) >= self.keep:
-            self.seen.clear()
-        self.seen[text] = hit
-        return hit
-
-
-def residue_windows(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text", containment: float = CONTAINMENT, coverage: float = COVERAGE) -> DataFrame:
-    """(id, line_no, exemplar, containment, coverage) of every line that is residue or holds a sentence that is.
-
-    Null and empty texts hold none; other columns are ignored; repeated rows are repeated. Sentences of a line are windows
-    of their own, however long the line is.
+        parts = _SENTENCE.split(line)
+        for p in parts:
+            toks = words(p)
+            if self.looked_for.isdisjoint(toks):
+                continue
+            if len(parts) > 1 and (hit := self.window(toks)) is not None:
+                return hit
+            first = _CLAUSE.split(p.strip(), maxsplit=1)
+            if len(first) > 1 and (hit := self.window(words(first[0]), clause=True)) is not None:
+                return hit
+        return None
+
+    def text(self, text: str) -> list[tuple[int, tuple[int, float, float]]]:
+        """(line_no, hit) of every line of residue."""
+        if self.looked_for.isdisjoint(words(text)) and not _OPEN.search(text):
+            return []
+        return [(no, hit) for no, line in enumerate(text.split("\n")) if line and (hit := self.line(line))]
+
+
+def residue_windows(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
+    """(id, line_no, exemplar, containment, coverage) of every line that is residue or holds a window that is.
+
+    Null and empty texts hold none; other columns are ignored; repeated rows are repeated. Sentences and marked places are
+    windows of their own in lines of any length.
     """
-    idf = idf_of(texts, text_col)
+    model = fit(texts, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = Matcher(idf, containment, coverage)
+        match = Matcher(model)
         for b in batches:
             ids, nos, ex, con, cov = [], [], [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if text:
-                    for no, line in enumerate(text.split("\n")):
-                        if line and (hit := match.line(line)):
-                            ids.append(i), nos.append(no), ex.append(EXEMPLARS[hit[0]]), con.append(hit[1]), cov.append(hit[2])
+                for no, (k, c, v) in match.text(text):
+                    ids.append(i), nos.append(no), ex.append(EXEMPLARS[k][1]), con.append(c), cov.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(ex, pa.string()), pa.array(con, pa.float64()), pa.array(cov, pa.float64())], names=[id_col, "line_no", "exemplar", "containment", "coverage"])
 
     schema = f"{id_col} long, line_no int, exemplar string, containment double, coverage double"
