@@ -18,11 +18,13 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.lookalikes import looks_like
+from palimpsest.llm.lookalikes import ODD, looks_like
 from palimpsest.llm.residue_exemplars import CUES, EXEMPLARS, FILLER_SEEDS
 
 #: Least containment where the exemplars of a kind explain a window together, and where one does so alone; least coverage by one, by a kind, of a clause.
@@ -93,11 +95,23 @@ def exemplar_bags() -> list[tuple[str, Counter]]:
     return out
 
 
-def _seen_tokens(text: str) -> set[str]:
-    found = set(words(text))
-    for p in places(text):
-        found.update(p)
-    return found
+def word_codes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words of many strings at once: (string, code) of each, and the word of each code, as `words` has them.
+
+    Strings with characters outside plain Latin text are left to `words`.
+    """
+    odd = pc.fill_null(pc.match_substring_regex(strings, ODD), False)
+    split = pc.split_pattern_regex(pc.utf8_lower(pc.if_else(odd, "", strings)), r"[^\pL\pN]+")
+    coded = split.flatten().dictionary_encode()
+    at, code = pc.list_parent_indices(split).to_numpy(zero_copy_only=False), coded.indices.to_numpy(zero_copy_only=False)
+    names: dict[str, int] = {}
+    same = np.array([names.setdefault((words(w) or [""])[0], len(names)) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+    at, code = [at], [same[code] if len(same) else code]
+    for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+        found = words(strings[int(i)].as_py())
+        at.append(np.full(len(found), i))
+        code.append(np.array([names.setdefault(w, len(names)) for w in found], dtype=np.int64))
+    return np.concatenate(at), np.concatenate(code), list(names)
 
 
 def corpus_counts(texts: DataFrame, text_col: str, flush: int = 200_000) -> DataFrame:
@@ -116,20 +130,22 @@ def corpus_counts(texts: DataFrame, text_col: str, flush: int = 200_000) -> Data
             return b
 
         for b in batches:
-            for text in b.column(0).to_pylist():
-                found = _seen_tokens(text)
-                held[""] += 1
-                held.update(found)
-                known = found & FILLER_SEEDS
-                if known:
-                    held[FILLER] += 1
-                    if len(known) > 1:
-                        near: set[str] = set()
-                        for line in text.split("\n"):
-                            bag = set(words(line))
-                            if len(bag & FILLER_SEEDS) > 1:
-                                near |= bag
-                        beside.update(near)
+            col = b.column(0)
+            at, code, names = word_codes(col)
+            pair = np.unique(at.astype(np.int64) * max(len(names), 1) + code) if len(at) else np.zeros(0, np.int64)
+            row, code = np.divmod(pair, max(len(names), 1))
+            for k, n in enumerate(np.bincount(code, minlength=len(names)).tolist()):
+                if names[k]:
+                    held[names[k]] += n
+            held[""] += len(col)
+            for i in np.flatnonzero(pc.match_substring_regex(col, _OPEN.pattern).to_numpy(zero_copy_only=False)):
+                held.update({t for p in places(col[int(i)].as_py()) for t in p if " " in t or t[0] == "⟨"})
+            seeds = np.array([n in FILLER_SEEDS for n in names], dtype=bool)
+            known = np.bincount(row[seeds[code]], minlength=len(col))
+            held[FILLER] += int((known > 0).sum())
+            for i in np.flatnonzero(known > 1):
+                lines = [set(words(line)) for line in col[int(i)].as_py().split("\n")]
+                beside.update(set().union(*(x for x in lines if len(x & FILLER_SEEDS) > 1)))
             if len(held) > flush:
                 yield out()
         yield out()
@@ -186,6 +202,16 @@ class Matcher:
                 spare -= self.idf[t] * bag[t]
                 if spare < 0:
                     break
+        # postings of every token as flat arrays: exemplars, and what the token is worth in each
+        self.number = {t: i for i, t in enumerate(sorted({t for bag in self.bags for t in bag}))}
+        listed: list[list[tuple[int, float]]] = [[] for _ in self.number]
+        for k, bag in enumerate(self.bags):
+            for t, n in bag.items():
+                listed[self.number[t]].append((k, self.idf[t] * n))
+        self.many = np.array([len(x) for x in listed])
+        self.first = np.cumsum(self.many) - self.many
+        self.of, self.share = np.array([k for x in listed for k, _ in x]), np.array([w for x in listed for _, w in x])
+        self.least = np.array([np.inf if kind == "policy" else CONTAINMENT * w - 1e-9 for kind, w in zip(self.kind, self.weight)])
         self.looked_for = frozenset(t for t, ks in self.heads.items() if any(self.kind[k] != "policy" for k in ks)) - {FILLER} | self.filler
 
     def window(self, toks: list[str], clause: bool = False) -> tuple[int, float, float] | None:
@@ -238,11 +264,36 @@ class Matcher:
                 return hit
         return None
 
-    def text(self, text: str) -> list[tuple[int, tuple[int, float, float]]]:
-        """(line_no, hit) of every line of residue."""
-        if self.looked_for.isdisjoint(words(text)) and not _OPEN.search(text):
-            return []
-        return [(no, hit) for no, line in enumerate(text.split("\n")) if line and (hit := self.line(line))]
+    def likely(self, lines: pa.Array, block: int = 2000) -> np.ndarray:
+        """Lines that can hold residue: those that hold enough of an exemplar, whatever their windows, and those with signs of a place."""
+        at, code, names = word_codes(lines)
+        number = np.array([self.number.get(FILLER if n in self.filler else n, -1) for n in names], dtype=np.int64)
+        known = number[code] if len(names) else code
+        at, known = at[known >= 0].astype(np.int64), known[known >= 0]
+        at, known = np.divmod(np.unique(at * len(self.number) + known), len(self.number))
+        out = pc.match_substring_regex(lines, _OPEN.pattern).to_numpy(zero_copy_only=False).copy()
+        for start in range(0, len(lines), block):
+            a, b = np.searchsorted(at, [start, start + block])
+            size = self.many[known[a:b]]
+            first = np.repeat(self.first[known[a:b]] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if b > a else np.zeros(0, np.int64)
+            k = len(self.least)
+            held = np.bincount(np.repeat(at[a:b] - start, size) * k + self.of[first], weights=self.share[first], minlength=block * k).reshape(block, k)
+            hits = (held >= self.least).any(axis=1)[: len(lines) - start]
+            out[start : start + len(hits)] |= hits
+        return out
+
+    def batch(self, texts: pa.Array) -> Iterator[tuple[int, int, tuple[int, float, float]]]:
+        """(text, line_no, hit) of every line of residue."""
+        split = pc.split_pattern(texts, "\n")
+        coded = split.flatten().dictionary_encode()
+        hits = {}
+        for i in np.flatnonzero(self.likely(coded.dictionary)):
+            if hit := self.line(coded.dictionary[int(i)].as_py()):
+                hits[int(i)] = hit
+        if hits:
+            code, text = coded.indices.to_numpy(zero_copy_only=False), pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
+            for j in np.flatnonzero(np.isin(code, list(hits))):
+                yield int(text[j]), int(j - np.searchsorted(text, text[j])), hits[int(code[j])]
 
 
 def residue_windows(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
@@ -257,9 +308,8 @@ def residue_windows(texts: DataFrame, id_col: str = "chunk_id", text_col: str =
         match = Matcher(model)
         for b in batches:
             ids, nos, ex, con, cov = [], [], [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for no, (k, c, v) in match.text(text):
-                    ids.append(i), nos.append(no), ex.append(EXEMPLARS[k][1]), con.append(c), cov.append(v)
+            for i, no, (k, c, v) in match.batch(b.column(1)):
+                ids.append(b.column(0)[i].as_py()), nos.append(no), ex.append(EXEMPLARS[k][1]), con.append(c), cov.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(ex, pa.string()), pa.array(con, pa.float64()), pa.array(cov, pa.float64())], names=[id_col, "line_no", "exemplar", "containment", "coverage"])
 
     schema = f"{id_col} long, line_no int, exemplar string, containment double, coverage double"

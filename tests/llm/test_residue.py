@@ -1,4 +1,6 @@
-from palimpsest.llm.residue import FIELD, NUMBER, Matcher, fit, marked, places, residue_windows, words
+import pyarrow as pa
+
+from palimpsest.llm.residue import FIELD, NUMBER, Matcher, fit, marked, places, residue_windows, word_codes, words
 from palimpsest.llm.residue_exemplars import EXEMPLARS
 
 SCHEMA = "chunk_id long, text string, line_no int, exemplar string"
@@ -76,11 +78,11 @@ def test_places_are_scored_like_all_windows(spark):
 
 def test_filler_is_learned(spark):
     """Invented words beside known filler become filler; words of ordinary texts don't."""
-    taught = ["Lorem ipsum vobarit dolor semunque", "Dolor vobarit amet semunque kraletis", "Kraletis ipsum enim vobarit"]
+    taught = ["Lorem ipsum vobarit dolor semunque", "Dolor vobarit amet semunque kraletis", "Kraletis ipsum enim vobarit", "Lorem ipsum kraletis semunque", "Amet lorem vobarit kraletis semunque", "Ipsum dolor kraletis semunque vobarit"]
     df = frame(spark, [*taught, "Semunque vobarit kraletis vobarit.", "Guests can ask for a copy."])
     assert {"vobarit", "semunque", "kraletis"} <= fit(df, "text").filler and "guests" not in fit(df, "text").filler
     got = {r.chunk_id: r.is_residue for r in marked(df).collect()}
-    assert got[3] and not got[4]
+    assert got[6] and not got[7]
 
 
 def test_posting_only_heavy_tokens_loses_nothing(spark):
@@ -90,6 +92,13 @@ def test_posting_only_heavy_tokens_loses_nothing(spark):
         for t in bag:
             if k not in every.heads[t]:
                 every.heads[t].append(k)
-    every.looked_for = frozenset(every.heads)
-    for x in BAD + UNSEEN + UNSEEN_POLICY + [g for g in GOOD if g]:
-        assert [n for n, _ in some.text(x)] == [n for n, _ in every.text(x)]
+    every.looked_for = frozenset(every.heads) | every.filler
+    texts = [x for x in BAD + UNSEEN + UNSEEN_POLICY + GOOD if x]
+    assert [(i, n) for i, n, _ in some.batch(pa.array(texts))] == [(i, n) for i, x in enumerate(texts) for n, line in enumerate(x.split("\n")) if every.line(line)]
+
+
+def test_words_of_many_strings():
+    texts = ["Write to Us by 2024", "", "а\u200bcc\u200bess ｄｅｎｉｅｄ", "Straße 7b", "one two two"]
+    at, code, names = word_codes(pa.array(texts))
+    for i, x in enumerate(texts):
+        assert sorted(names[c] for c in code[at == i] if names[c]) == sorted(words(x))
