@@ -26,7 +26,14 @@ class Element:
 
     def text(self) -> str:
         """Text below, without that of scripts and styles inside (a script or style asked itself gives its own)."""
-        return "".join(c if isinstance(c, str) else "" if c.tag in ("script", "style") else c.text() for c in self.children)
+        out, todo = [], list(reversed(self.children))
+        while todo:
+            c = todo.pop()
+            if isinstance(c, str):
+                out.append(c)
+            elif c.tag not in ("script", "style"):
+                todo += reversed(c.children)
+        return "".join(out)
 
     def find(self, tag: str) -> Element | None:
         stack = [self]
@@ -38,24 +45,40 @@ class Element:
         return None
 
     def prune(self, unwanted) -> None:
-        self.children = [c for c in self.children if isinstance(c, str) or not unwanted(c)]
-        for c in self.children:
-            if isinstance(c, Element):
-                c.prune(unwanted)
+        todo = [self]
+        while todo:
+            at = todo.pop()
+            at.children = [c for c in at.children if isinstance(c, str) or not unwanted(c)]
+            todo += [c for c in at.children if isinstance(c, Element)]
 
-    def pretty(self, depth: int = 0) -> str:
+    def pretty(self) -> str:
         """One line for each tag and each text, indented by depth, so that inline tags part words."""
-        pad, lines = " " * depth, []
-        for c in self.children:
-            if isinstance(c, str):
-                if c.strip():
-                    lines.append(" " * (depth + (self.tag != "")) + escape(c.strip(), quote=False))
-            else:
-                lines.append(c.pretty(depth + (self.tag != "")))
-        if not self.tag:
-            return "\n".join(lines)
-        attrs = "".join(f' {k}="{escape(v)}"' for k, v in self.attrs.items())
-        return "\n".join([f"{pad}<{self.tag}{attrs}>", *lines, *([] if self.tag in VOID else [f"{pad}</{self.tag}>"])])
+        lines: list[str] = []
+        todo: list[tuple[Element | str, int]] = [(self, 0)]
+        while todo:
+            at, depth = todo.pop()
+            pad = " " * depth
+            if isinstance(at, _End):
+                lines.append(f"{pad}</{at}>")
+                continue
+            if isinstance(at, str):
+                if at.strip():
+                    lines.append(pad + escape(at.strip(), quote=False))
+                continue
+            inner = depth + (at.tag != "")
+            if at.tag:
+                attrs = "".join(f' {k}="{escape(v)}"' for k, v in at.attrs.items())
+                lines.append(f"{pad}<{at.tag}{attrs}>")
+                if at.tag not in VOID:
+                    todo.append((_End(at.tag), depth))
+            todo += [(c, inner) for c in reversed(at.children)]
+        return "\n".join(lines)
+
+
+class _End(str):
+    """An end tag among the texts of a page that is written out."""
+
+    __slots__ = ()
 
 
 class _Builder(HTMLParser):
@@ -124,16 +147,17 @@ def decode(content: bytes | None, content_type: str | None) -> tuple[str | None,
 class Node:
     """A section-tree node. Where a node goes depends on its level, see place()."""
 
-    __slots__ = ("children", "level", "parent", "slot", "tag", "text")
+    __slots__ = ("ahead", "children", "level", "parent", "readable", "tag", "text")
 
     def __init__(self, text: str, tag: str):
         self.text, self.tag, self.level = text, tag, LEVEL.get(tag, CHILD)
         self.children: list[Node] = []
         self.parent: Node | None = None
-        self.slot = 0
+        self.ahead = self.readable = 0  # readable siblings before it, readable children
 
     def adopt(self, node: Node) -> None:
-        node.parent, node.slot = self, len(self.children)
+        node.parent, node.ahead = self, self.readable
+        self.readable += not node.blank
         self.children.append(node)
 
     def place(self, node: Node) -> None:
@@ -155,17 +179,32 @@ class Node:
         """Reading number: along the ancestors, readable earlier siblings and the nodes themselves, less one."""
         total, at = -1, self
         while at is not None:
-            total += not at.blank
-            if at.parent is not None:
-                total += sum(not c.blank for c in at.parent.children[: at.slot])
+            total += at.ahead + (not at.blank)
             at = at.parent
         return total
 
+    def below(self) -> list[tuple[Node, int]]:
+        """(node, depth) of the node and all below it, parents first."""
+        out = [(self, 1)]
+        for node, depth in out:
+            out += [(c, depth + 1) for c in node.children]
+        return out
+
     def size(self) -> int:
-        return 1 + sum(c.size() for c in self.children)
+        return len(self.below())
 
     def depth(self) -> int:
-        return 1 + max((c.depth() for c in self.children), default=0)
+        return max(depth for _, depth in self.below())
+
+    def find(self, read_idx: int) -> Node | None:
+        """The first node of a reading number, depth first."""
+        stack = [self]
+        while stack:
+            at = stack.pop()
+            if at.read_idx() == read_idx:
+                return at
+            stack += reversed(at.children)
+        return None
 
 
 def joint(context: str) -> str:
@@ -177,45 +216,56 @@ def tree(html: str) -> Node:
     """Section tree of a page: containers are read into, scripts and footers are left out, all else with text is one leaf."""
     root = Node("", "root")
 
-    def read(e: Element, at: Node) -> None:
-        for c in e.children:
-            tag = "text" if isinstance(c, str) else c.tag
-            if tag in CONTAINERS:
-                n = Node("", tag)
-                at.place(n)
-                read(c, n)
-            elif tag not in ("script", "footer"):
-                raw = c if isinstance(c, str) else c.text()
-                if raw and not raw.isspace():
-                    at.place(Node(_SPACE.sub(" ", escape(raw, quote=False)).strip(), tag))
-
-    read(parse(html), root)
+    todo: list[tuple[Element | str, Node]] = [(c, root) for c in reversed(parse(html).children)]
+    while todo:
+        c, at = todo.pop()
+        tag = "text" if isinstance(c, str) else c.tag
+        if tag in CONTAINERS:
+            n = Node("", tag)
+            at.place(n)
+            todo += [(x, n) for x in reversed(c.children)]
+        elif tag not in ("script", "footer"):
+            raw = c if isinstance(c, str) else c.text()
+            if raw and not raw.isspace():
+                at.place(Node(_SPACE.sub(" ", escape(raw, quote=False)).strip(), tag))
     return root
 
 
-def walk(node: Node, context: str = "") -> list[tuple[Node, str]]:
-    """(node, context) of each readable node, depth first; raw text of earlier siblings joins the context."""
+def walk(root: Node) -> list[tuple[Node, str]]:
+    """(node, context) of each readable node, depth first. The context of a node is that of its parent and the parent's text,
+    with the raw text of the parent's earlier children before it; a joint stands only after a node with text."""
     out: list[tuple[Node, str]] = []
-    gap = joint(context) if node.text else ""
-    if not node.blank:
-        out.append((node, context))
-    for c in node.children:
-        out += walk(c, context + gap + node.text)
-        context += c.text if c.tag == "text" else ""
-        gap = joint(context) if c.text else ""
+    todo = [(root, "")]
+    while todo:
+        node, context = todo.pop()
+        if not node.blank:
+            out.append((node, context))
+        inside, last = [], node
+        for c in node.children:
+            inside.append((c, context + (joint(context) if last.text else "") + node.text))
+            last = c
+            if c.tag == "text":
+                context += c.text
+        todo += reversed(inside)
     return out
 
 
 def as_dict(node: Node, full: bool = True) -> dict:
-    d = {"text": node.text, **({"read_idx": node.read_idx(), "tag": node.tag} if full else {}), "children": [as_dict(c, full) for c in node.children]}
-    return d | ({"size": node.size(), "depth": node.depth()} if node.parent is None else {})
+    made: dict[int, dict] = {}
+    for n, _ in reversed(node.below()):  # children before parents
+        made[id(n)] = {"text": n.text, **({"read_idx": n.read_idx(), "tag": n.tag} if full else {}), "children": [made[id(c)] for c in n.children]}
+    return made[id(node)] | ({"size": node.size(), "depth": node.depth()} if node.parent is None else {})
 
 
 def from_dict(d: dict) -> Node:
-    n = Node(d["text"], d["tag"])
-    for c in d["children"]:
-        n.adopt(from_dict(c))
-    return n
+    root = Node(d["text"], d["tag"])
+    todo = [(root, d)]
+    while todo:
+        at, x = todo.pop()
+        for c in x["children"]:
+            at.adopt(Node(c["text"], c["tag"]))
+            todo.append((at.children[-1], c))
+    return root
 
 
 @arrow_udf("string")

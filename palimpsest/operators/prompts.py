@@ -21,7 +21,8 @@ def valid_captures(index: DataFrame) -> DataFrame:
 def time_sample(captures: DataFrame, bins: int = 10, order: str = "capture_id") -> DataFrame:
     """Up to `bins` captures of each document: the first of each of min(bins, n) equal, right-closed stretches of time.
 
-    If any time of a document can't be read, its first `bins` captures are taken instead.
+    Of a stretch each column gives its first value that is not null, so a row may draw on several captures. If any time of a
+    document can't be read, its first `bins` captures are taken instead, as they are.
     """
     key = ["company", "policy"]
     whole = Window.partitionBy(*key)
@@ -30,6 +31,8 @@ def time_sample(captures: DataFrame, bins: int = 10, order: str = "capture_id")
     k = F.least(F.lit(bins), F.col("n"))
     place = F.when(F.col("high") > F.col("low"), F.greatest(F.lit(0), F.least(k - 1, (F.ceil((F.col("t") - F.col("low")) * k / (F.col("high") - F.col("low"))) - 1)))).otherwise(F.lit(0)).cast("int")
     rows = rows.withColumn("bin", F.when(~F.col("bad"), place)).withColumn("in_bin", F.row_number().over(Window.partitionBy(*key, "bin").orderBy(order))).withColumn("in_key", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
+    within = Window.partitionBy(*key, "bin").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({c: F.when(F.col("bad"), F.col(c)).otherwise(F.first(c, ignorenulls=True).over(within)) for c in captures.columns if c not in (*key, order)})
     return rows.where((~F.col("bad") & (F.col("in_bin") == 1)) | (F.col("bad") & (F.col("in_key") <= bins))).drop("t", "n", "low", "high", "bad", "in_bin", "in_key")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.functions.diffs import highlight_udf, line_ops_udf, span_ops_udf
+from palimpsest.functions.diffs import char_opcodes, cut_lines, cut_text, line_opcodes, marked_up, split_lines, whole
 
 KEY = ["company", "policy"]
 
@@ -33,19 +33,45 @@ def pairs(docs: DataFrame) -> DataFrame:
     return both.where("before_ts is not null").withColumn("has_diff", F.col("before_lines") != F.col("after_lines"))
 
 
-def raw_diffs(docs: DataFrame) -> DataFrame:
-    """Line opcodes of each pair of neighbours. Equal pairs don't reach the matcher: they are one 'equal', or nothing."""
-    p = pairs(docs)
+def _line_opcodes(p: DataFrame) -> DataFrame:
+    """Pairs with the opcodes `ops` of their lines. The matcher gets nothing to do for equal pairs: they are one 'equal', or nothing."""
     n = F.size("before_lines")
-    same = F.when(n > 0, F.array(F.struct(F.lit("equal").alias("tag"), F.lit(0).alias("i1"), n.alias("i2"), F.lit(0).alias("j1"), n.alias("j2"), F.col("before_lines").alias("before"), F.col("before_lines").alias("after"), F.lit(1.0).cast("double").alias("sim"))))
-    equal = p.where(~F.col("has_diff")).withColumn("diffs", F.coalesce(same, F.array().cast("array<struct<tag:string,i1:int,i2:int,j1:int,j2:int,before:array<string>,after:array<string>,sim:double>>")))
-    return p.where("has_diff").withColumn("diffs", line_ops_udf("before_lines", "after_lines")).unionByName(equal)
+    same = F.filter(F.array(F.struct(F.lit("equal").alias("tag"), F.lit(0).alias("i1"), n.alias("i2"), F.lit(0).alias("j1"), n.alias("j2"), F.lit(1.0).cast("double").alias("sim"))), lambda o: o["i2"] > 0)
+    asked = lambda c: F.when(F.col("has_diff"), F.col(c))
+    return p.withColumn("ops", F.coalesce(line_opcodes(asked("before_lines"), asked("after_lines")), same))
+
+
+def raw_diffs(docs: DataFrame) -> DataFrame:
+    """Line opcodes of each pair of neighbours with the lines of both sides and their likeness `sim`."""
+    before, after = F.col("before_lines"), F.col("after_lines")
+    full = lambda o: F.struct(*[o[c].alias(c) for c in ("tag", "i1", "i2", "j1", "j2")], cut_lines(before, o["i1"], o["i2"]).alias("before"), cut_lines(after, o["j1"], o["j2"]).alias("after"), o["sim"].alias("sim"))
+    return _line_opcodes(pairs(docs)).withColumn("diffs", F.transform("ops", full)).drop("ops")
 
 
 def span_diffs(docs: DataFrame) -> DataFrame:
-    """Character opcodes of pairs that differ, one row each, in order."""
-    p = pairs(docs).where("has_diff").withColumn("spans", span_ops_udf("before_lines", "after_lines"))
-    return p.select(*KEY, "version_ts", "before_ts", F.posexplode("spans").alias("ord", "s")).select(*KEY, "version_ts", "before_ts", "ord", "s.*")
+    """Character opcodes of the lines that face each other within each line opcode (equal ones too), one row each; `line_ord` numbers
+    the facing lines of a pair of versions, `ord` the opcodes of two lines."""
+    where = ("idx", "i1", "i2", "j1", "j2")
+    sides = lambda o, i: F.struct(i.alias("idx"), *[o[c].alias(c) for c in where[1:]], _lines_of("before_lines", o["i1"], o["i2"]).alias("x"), _lines_of("after_lines", o["j1"], o["j2"]).alias("y"))
+    faced = F.flatten(F.transform(F.transform("ops", sides), _faced))
+    rows = _line_opcodes(pairs(docs).where("has_diff")).select(*KEY, "version_ts", "before_ts", F.posexplode(faced).alias("line_ord", "f")).select(*KEY, "version_ts", "before_ts", "line_ord", "f.*")
+    asked = lambda side: F.when(F.col("x") != F.col("y"), F.col(side))
+    coded = rows.withColumn("chars", F.coalesce(char_opcodes(asked("x"), asked("y")), whole(F.length("x"))))
+    out = coded.select(*KEY, "version_ts", "before_ts", "line_ord", *where, "x", "y", F.posexplode("chars").alias("ord", "o"))
+    ranges = [F.col(f"o.{c}").alias(d) for c, d in (("i1", "ii1"), ("i2", "ii2"), ("j1", "jj1"), ("j2", "jj2"))]
+    return out.select(*KEY, "version_ts", "before_ts", "line_ord", "ord", "o.tag", *where, *ranges, cut_text(F.col("x"), F.col("o.i1"), F.col("o.i2")).alias("before"), cut_text(F.col("y"), F.col("o.j1"), F.col("o.j2")).alias("after"))
+
+
+def _lines_of(side: str, start, end):
+    return split_lines(F.array_join(cut_lines(F.col(side), start, end), "\n"))
+
+
+def _faced(o):
+    """The lines of an opcode's two sides by position; the shorter side is filled up with empty lines."""
+    most = F.greatest(F.size(o["x"]), F.size(o["y"]))
+    at = lambda side, k: F.coalesce(F.get(o[side], k), F.lit(""))
+    pair = lambda _, k: F.struct(*[o[c].alias(c) for c in ("idx", "i1", "i2", "j1", "j2")], at("x", k).alias("x"), at("y", k).alias("y"))
+    return F.transform(F.array_repeat(F.lit(0), most), pair)
 
 
 def clean_diffs(raw: DataFrame) -> DataFrame:
@@ -64,8 +90,10 @@ def manifest(versions: DataFrame) -> DataFrame:
 def highlighted(raw: DataFrame) -> DataFrame:
     """Sections that are not equal, lines joined by newlines, with what differs in spans."""
     numbered = F.transform("diffs", lambda d, i: F.struct(i.alias("index"), d["tag"].alias("tag"), F.array_join(d["before"], "\n").alias("before"), F.array_join(d["after"], "\n").alias("after")))
-    rows = raw.select(*KEY, "version_ts", F.explode(F.filter(numbered, lambda d: d["tag"] != "equal")).alias("d"))
-    return rows.withColumn("h", highlight_udf("d.before", "d.after")).select(*KEY, "version_ts", "d.index", "h.before_html", "h.after_html")
+    rows = raw.select(*KEY, "version_ts", F.explode(F.filter(numbered, lambda d: d["tag"] != "equal")).alias("d")).select(*KEY, "version_ts", "d.index", "d.before", "d.after")
+    ops = rows.withColumn("ops", char_opcodes("before", "after"))
+    side = lambda c, i, j, css: marked_up(F.col(c), F.col("ops"), i, j, css).alias(f"{c}_html")
+    return ops.select(*KEY, "version_ts", "index", side("before", "i1", "i2", "diff_sub"), side("after", "j1", "j2", "diff_add"))
 
 
 def template_map(marked: DataFrame) -> DataFrame:

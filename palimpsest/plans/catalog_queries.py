@@ -202,12 +202,21 @@ def b11(spark, d):
     return table(spark, d, "gold_labels").select("label_id", C.label_value("practically_substantive").alias("value"))
 
 
-@query("E1_time_sample", f"""
+_SAMPLE = f"""
 WITH v AS (SELECT *, CASE WHEN regexp_matches(capture_ts, '^[0-9]{{14}}$') THEN epoch_us(try_strptime(capture_ts, '%Y%m%d%H%M%S'))::DOUBLE END AS t FROM snapshot_index WHERE {VALID}),
 w AS (SELECT *, count(*) OVER p AS n, min(t) OVER p AS low, max(t) OVER p AS high, max(CASE WHEN t IS NULL THEN 1 ELSE 0 END) OVER p AS bad FROM v WINDOW p AS (PARTITION BY company, policy)),
-b AS (SELECT *, CASE WHEN bad = 1 THEN NULL WHEN high > low THEN greatest(0, least(least(10, n) - 1, ceil((t - low) * least(10, n) / (high - low)) - 1))::INT ELSE 0 END AS bin FROM w)
-SELECT company, policy, capture_id, bin FROM (SELECT *, row_number() OVER (PARTITION BY company, policy, bin ORDER BY capture_id) AS k, row_number() OVER (PARTITION BY company, policy ORDER BY capture_id) AS j FROM b)
-WHERE (bad = 0 AND k = 1) OR (bad = 1 AND j <= 10)""")
+b AS (SELECT *, CASE WHEN bad = 1 THEN NULL WHEN high > low THEN greatest(0, least(least(10, n) - 1, ceil((t - low) * least(10, n) / (high - low)) - 1))::INT ELSE 0 END AS bin FROM w),
+s AS (SELECT company, policy, capture_id, bin, bad, row_number() OVER (PARTITION BY company, policy, bin ORDER BY capture_id) AS k, row_number() OVER (PARTITION BY company, policy ORDER BY capture_id) AS j,
+  {', '.join(f"CASE WHEN bad = 1 THEN {c} ELSE first_value({c} IGNORE NULLS) OVER (PARTITION BY company, policy, bin ORDER BY capture_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END AS {c}" for c in ("mimetype", "digest", "length_bytes"))} FROM b)"""
+_TAKEN = "FROM s WHERE (bad = 0 AND k = 1) OR (bad = 1 AND j <= 10)"
+
+
+@query("E1a_first_values", f"{_SAMPLE} SELECT company, policy, capture_id, mimetype, digest, length_bytes {_TAKEN}")
+def e1a(spark, d):
+    return prompts.time_sample(prompts.valid_captures(_index(spark, d))).select("company", "policy", "capture_id", "mimetype", "digest", "length_bytes")
+
+
+@query("E1_time_sample", f"{_SAMPLE} SELECT company, policy, capture_id, bin {_TAKEN}")
 def e1(spark, d):
     return prompts.time_sample(prompts.valid_captures(_index(spark, d))).select("company", "policy", "capture_id", "bin")
 

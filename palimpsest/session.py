@@ -24,6 +24,7 @@ def build_session(app: str = "palimpsest", cpus: int | None = None, shuffle_part
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PALIMPSEST_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -39,9 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir of the session; set a local one only where none is set (tests)."""
+    """Use spark.checkpoint.dir of the session. Where none is set, a session in one process takes a local folder (tests) and a cluster is refused."""
     if spark.sparkContext.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not where and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="palimpsest-ckpt-"))
 
 

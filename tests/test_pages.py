@@ -60,3 +60,12 @@ def test_decode():
     assert decode(b"\xff\xfe\x81", None)[0].startswith("�") and decode(b"ab", None) == ("ab", "utf-8")
     assert decode(b"a", "text/html; charset=nonsense") == ("a", "nonsense")
     assert decode(None, None) == (None, None)
+
+
+def test_deep_and_flat_pages():
+    """Neither nesting nor many siblings cost more than their number; the walk keeps the order."""
+    deep = "<div>" * 5000 + "x" + "</div>" * 5000
+    assert flat(deep) == ["x"] and tree(deep).depth() == 5002 and "x" in main_text(f"<main>{deep}</main>")
+    wide = tree("".join(f"<p>{k}</p>" for k in range(20_000)))
+    assert [n.read_idx() for n, _ in walk(wide)] == list(range(20_000))
+    assert wide.find(777).text == "777" and wide.find(30_000) is None
