@@ -37,23 +37,31 @@ def implied_tags(line: str) -> str:
 
 
 def features(line: str, tags: str = "") -> list[str]:
-    """Features of one block: case and digits are levelled, look-alike characters mapped."""
-    text = line if line.isascii() else unicodedata.normalize("NFC", looks_like(line))
-    gaps = text.strip().count("  ") + text.count("\t")
-    toks = ["0" if _DIGIT.search(t) else t for t in _TOKEN.findall(text.lower())]
-    if not toks:
+    """Features of one block: its words and pairs of words with case and digits levelled and look-alike characters mapped, and its shape."""
+    text = (line if line.isascii() else unicodedata.normalize("NFC", looks_like(line))).strip()
+    raw = _TOKEN.findall(text)
+    if not raw:
         return ["blank"]
-    words = [t for t in toks if t[0].isalnum()]
-    out = [f"tag={t}" for t in tags.split()] if tags else [f"mark={implied_tags(text.strip())}"]
+    toks = ["0" if not t.isalpha() and _DIGIT.search(t) else t.lower() for t in raw]
+    words = [t for t in raw if t[0].isalnum()]
+    n = len(words)
+    size = n if n <= 3 else min(n, 24) // 3 + 3
+    out = [f"tag={t}" for t in set(tags.split())] if tags else [f"mark={implied_tags(text)}"]
     out += ["w=" + t for t in set(toks)]
     out += [f"b={a} {b}" for a, b in set(zip(toks, toks[1:]))]
-    out += ["f=" + toks[0], "l=" + toks[-1], f"n={min(len(words), 24) // 3 if len(words) > 3 else -len(words)}", "e=" + (toks[-1] if not toks[-1].isalnum() else "word")]
+    end = toks[-1] if not toks[-1].isalnum() else "word"
+    out += ["f=" + toks[0], "l=" + toks[-1], f"n={size}", f"e={end}", f"ne={size} {end}"]
     if len(toks) > 1:
-        out.append(f"f2={toks[0]} {toks[1]}")
-    if gaps > 1:
+        out += [f"f2={toks[0]} {toks[1]}", f"l2={toks[-2]} {toks[-1]}"]
+    if text.count("  ") + text.count("\t") > 1:
         out.append("gaps")
-    signs = Counter(t for t in toks if t in "|·/>»›▸:•")
-    out += [f"s={t}{min(n, 3)}" for t, n in signs.items()]
+    signs = Counter(t for t in toks if not t.isalnum() and t not in ".,;-")
+    out += [f"s={t}{min(k, 3)}" for t, k in signs.items()]
+    if words and not (text.isupper() or text.islower()):
+        big = sum(w[0].isupper() for w in words)
+        out.append(f"big={4 * big // n} {min(size, 5)}")
+    out.append(f"nums={min(toks.count('0'), 3)} {min(size, 4)}")
+    out.append(f"signs={min(sum(signs.values()), 4)} {min(size, 5)}")
     return out
 
 
@@ -99,7 +107,7 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def train(pages: int = 1500, rounds: int = 100, seed: int = 11, least: int = 4, decay: float = 2e-4) -> Chain:
+def train(pages: int = 2500, rounds: int = 100, seed: int = 11, least: int = 4, decay: float = 2e-4) -> Chain:
     """Fits the chain by maximum likelihood (Adam, L2) on all labelled pages at once."""
     data = labelled_pages(pages, seed)
     feats = [[features(x, tags) for tags, x, _ in p] for p in data]
@@ -155,52 +163,67 @@ def train(pages: int = 1500, rounds: int = 100, seed: int = 11, least: int = 4,
 
 
 class _Leaves(HTMLParser):
-    """Leaf blocks of a page with their ancestor tags; inline tags are no blocks; scripts and styles are left out."""
+    """Leaf blocks of a page with their ancestors: tags, and the words of classes and ids after a dot. Inline tags are no blocks, but
+    links with nothing beside them other than signs are one each; scripts and styles are left out."""
 
     INLINE = frozenset("a abbr b bdi bdo br cite code em i kbd mark q s samp small span strong sub sup u wbr img input".split())
     VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+    HIDDEN = frozenset("script style noscript head template".split())
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[str] = []
-        self.text: list[str] = []
+        self.stack: list[tuple[str, list[str]]] = []
+        self.text: list[tuple[bool, str]] = []  # (whether within a link, text); each link is one entry
+        self.in_link = False
         self.blocks: list[tuple[str, str]] = []
 
-    def _end_block(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            self.blocks.append((" ".join(self.stack), text))
+    def end_block(self) -> None:
+        above = " ".join(x for tag, names in self.stack for x in (tag, *names))
+        links = [" ".join(t.split()) for link, t in self.text if link]
+        if sum(map(bool, links)) > 1 and not any(c.isalnum() for link, t in self.text if not link for c in t):
+            self.blocks += [(f"{above} a".strip(), t) for t in links if t]
+        elif whole := " ".join("".join(t for _, t in self.text).split()):
+            self.blocks.append((above, whole))
         self.text = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
-            self.text.append(" ")
+            self.text.append((self.in_link, " "))
+        elif tag == "a":
+            self.in_link = True
+            self.text.append((True, ""))
         if tag not in self.INLINE:
-            self._end_block()
+            self.end_block()
             if tag not in self.VOID:
-                self.stack.append(tag)
+                names = [f".{w.lower()}" for k, v in attrs if k in ("class", "id") and v for w in _TOKEN.findall(v.replace("_", "-")) if w.isalpha()]
+                self.stack.append((tag, names))
 
     def handle_endtag(self, tag):
-        if tag not in self.INLINE and tag in self.stack:
-            self._end_block()
-            while self.stack.pop() != tag:
+        if tag == "a":
+            self.in_link = False
+        if tag not in self.INLINE and any(tag == t for t, _ in self.stack):
+            self.end_block()
+            while self.stack.pop()[0] != tag:
                 pass
 
     def handle_data(self, data):
-        if not {"script", "style", "noscript", "head"} & set(self.stack):
-            self.text.append(data)
+        if not any(t in self.HIDDEN for t, _ in self.stack):
+            if self.in_link and self.text and self.text[-1][0]:
+                self.text[-1] = (True, self.text[-1][1] + data)
+            else:
+                self.text.append((self.in_link, data))
 
 
 def leaf_blocks(html: str) -> list[tuple[str, str]]:
-    """(ancestor tags from the root down, text) of each leaf block, in document order."""
+    """(ancestors from the root down, text) of each leaf block, in document order."""
     p = _Leaves()
     p.feed(html)
     p.close()
-    p._end_block()
+    p.end_block()
     return p.blocks
 
 
-def around_lines(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text", pages: int = 1500) -> DataFrame:
+def around_lines(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text", pages: int = 2500) -> DataFrame:
     """(id, line_no) of every line that belongs to the page around the main text.
 
     Null texts hold none and blank lines are never reported, but stay in the chain as breaks. Each text is a chain of its own;
@@ -247,14 +270,14 @@ def _worker_chain(key: tuple, parts: tuple) -> Chain:
     return _CHAINS[key]
 
 
-def main_lines(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text", pages: int = 1500) -> DataFrame:
+def main_lines(texts: DataFrame, id_col: str = "chunk_id", text_col: str = "text", pages: int = 2500) -> DataFrame:
     """(id, text) of every row with the lines of the main text only, in order; null stays null."""
     gone = around_lines(texts, id_col, text_col, pages).groupBy(id_col).agg(F.collect_set("line_no").alias("gone"))
     kept = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("gone", i))
     return texts.select(id_col, text_col).join(gone, id_col, "left").select(id_col, F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col))
 
 
-def main_body_of_html(pages_df: DataFrame, id_col: str, html_col: str, pages: int = 1500) -> DataFrame:
+def main_body_of_html(pages_df: DataFrame, id_col: str, html_col: str, pages: int = 2500) -> DataFrame:
     """(id, text) of every page: the blocks of its main body by line. A null page gives null, a page without one ''."""
     model = train(pages)
     sent = pages_df.sparkSession.sparkContext.broadcast((model.weight, model.move, model.begin, model.end))
