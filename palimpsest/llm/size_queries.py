@@ -23,11 +23,11 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How full the containers of each limit are."""
+    """How full the containers of each limit are, and the share of the parts that the least-squares plans placed."""
     limits = F.broadcast(table(spark, sf_dir, "prompt_limits", "limit_name", "capacity_chars"))
-    each = p3_containers(spark, sf_dir).groupBy("limit_name", "company", "container").agg(F.sum("part_chars").alias("chars"))
+    each = p3_containers(spark, sf_dir).groupBy("limit_name", "company", "container").agg(F.sum("part_chars").alias("chars"), F.count("*").alias("parts"), F.count_if("planned").alias("planned"))
     return each.join(limits, "limit_name").groupBy("limit_name").agg(
-        F.count("*").alias("containers"), F.max("chars").alias("fullest"), F.max("capacity_chars").alias("capacity_chars"), (F.sum("chars") / F.sum("capacity_chars")).alias("fill")
+        F.count("*").alias("containers"), F.max("chars").alias("fullest"), F.max("capacity_chars").alias("capacity_chars"), (F.sum("chars") / F.sum("capacity_chars")).alias("fill"), (F.sum("planned") / F.sum("parts")).alias("planned_share")
     )
 
 

@@ -10,7 +10,7 @@ from palimpsest.llm.packing import combinations, containers, nnls, pack
 def check(lengths, capacity):
     rows = pack(np.array(lengths, dtype=np.int64), capacity)
     load, parts = {}, {}
-    for i, part, chars, c in rows:
+    for i, part, chars, c, _ in rows:
         load[c] = load.get(c, 0) + chars
         parts.setdefault(i, []).append((part, chars))
     assert max(load.values(), default=0) <= capacity and sorted(parts) == list(range(len(lengths)))
@@ -33,6 +33,29 @@ def test_fill():
     assert sum(lengths) / (100 * len(load)) > 0.97
 
 
+def greedy(lengths, capacity):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        best = min((r for r in rooms if r >= n), default=None)
+        if best is None:
+            best = capacity
+        else:
+            rooms.remove(best)
+        rooms.append(best - n)
+    return len(rooms)
+
+
+def test_plans_place_most_items_and_fill_as_well_as_greedy():
+    """Short, middling and long items for one capacity: containers of a few and of many items."""
+    rng = np.random.default_rng(7)
+    for scale in (0.35, 0.08, 0.02):
+        lengths = np.clip(rng.lognormal(np.log(scale * 6000), 0.9, 1500), 1, 6000).astype(int)
+        rows = pack(lengths, 6000)
+        check(lengths.tolist(), 6000)
+        assert sum(planned for *_, planned in rows) > 0.5 * len(rows)
+        assert len({c for *_, c, _ in rows}) <= 1.015 * greedy(lengths.tolist(), 6000)
+
+
 def test_combinations_fill_the_window():
     got = combinations([4, 10, 16, 30], 32, 2)
     assert all(31 <= sum(c) <= 32 and len(c) <= 3 for c in got) and (16, 16) in got and (4, 4, 4) not in got
