@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from palimpsest.session import spread
 
 BINS, GAP, ROUNDS, SHARD_ROWS = 64, 2, 4, 5_000
-RESERVE, SLACK = 0.01, 0.01  # share of all characters, in the shortest items, kept back to fill rooms; of a window that a plan may leave unused
+RESERVE, SLACK = 0.02, 0.01  # share of all characters, in the shortest items, kept back to fill rooms; of a window that a plan may leave unused
 WEIGHT = 2.0  # power of the length by which errors of the histogram count, so that long items are planned for first
 
 
@@ -55,6 +55,7 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     n = a.shape[1]
     x, active = np.zeros(n), np.zeros(n, bool)
+    gram, rhs = a.T @ a, a.T @ b
     scale = max(1.0, float(np.abs(b).max(initial=0.0)))
     best = np.inf
     while True:
@@ -71,7 +72,10 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         active[j] = True
         while True:
             at = np.flatnonzero(active)
-            z = np.linalg.lstsq(a[:, at], b, rcond=None)[0]
+            try:
+                z = np.linalg.solve(gram[np.ix_(at, at)], rhs[at])
+            except np.linalg.LinAlgError:
+                z = np.linalg.lstsq(a[:, at], b, rcond=None)[0]
             if (z > 1e-12).all():
                 x[:] = 0
                 x[at] = z
