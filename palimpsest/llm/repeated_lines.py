@@ -1,23 +1,25 @@
 """Lines repeated across one source's documents (problem 7).
 
-A source's documents are sequences of line identifiers. Its suffix array (every position's following identifiers, up to
-`depth`, in order) is built by a range-partitioned sort on (source, suffix, document), so that neither a large source nor
-a hot line meets in one task. Common prefixes of neighbours give the repeated blocks of one to `depth` lines; runs within
-a partition count their documents there, and only runs that touch a partition's edge are counted across partitions.
-Blocks spanning enough documents of the source are deleted.
+A source's documents are sequences of line identifiers. Its suffix array (every position's following identifiers in order) is
+built by a range-partitioned sort on (source, suffix, document), so that neither a large source nor a hot line meets in one
+task. Suffixes are at first compared over `DEPTH` identifiers, and wherever that many lines still repeat, again over four times
+as many, until no block goes on. Common prefixes of neighbours give the repeated blocks; runs within a partition count their
+documents there, and only runs that touch a partition's edge are counted across partitions. Every position takes the longest
+block that spans enough documents of the source; the positions of those blocks that no other covers are what is deleted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEPTH = 4
-BROADCAST_ROWS = 400_000  # at some 40 bytes a row
+DEPTH = 4  # identifiers of a suffix compared in the first round
+BROADCAST_ROWS = 200_000  # first lines of blocks, at some 100 bytes each
 
 
 def line_ids(text_col: str):
@@ -34,22 +36,31 @@ def sequences(texts: DataFrame, source: str, document: str, id_col: str, text_co
     return rows.select(F.col(source).alias("source"), F.col(document).alias("document"), F.col(id_col).alias("id"), line_ids(text_col).alias("ids"))
 
 
-def suffixes(seqs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Distinct (source, suffix, document): the up to `depth` identifiers from each position, ending before a blank line."""
-    at = seqs.select("source", "document", "ids", F.explode(F.sequence(F.lit(1), F.size("ids"))).alias("i")).where(F.get("ids", F.col("i") - 1).isNotNull())
-    tail = F.slice("ids", F.col("i"), depth)
+def _until_blank(tail):
     gap = F.array_position(F.transform(tail, lambda x: x.isNull()), True).cast("int")
-    return at.select("source", F.when(gap > 0, F.slice(tail, 1, gap - 1)).otherwise(tail).alias("suffix"), "document").distinct()
+    return F.when(gap > 0, F.slice(tail, 1, gap - 1)).otherwise(tail)
+
 
+def suffixes(seqs: DataFrame, depth: int, heads: DataFrame | None = None, known: int = 0) -> DataFrame:
+    """Distinct (source, suffix, document): the up to `depth` identifiers from each position, ending before a blank line.
 
-def _runs(depth: int, least: int):
-    """Blocks of one sorted partition: (source, block, document or null, number of documents)."""
+    heads: (source, hash) of the blocks of `known` lines that positions must begin with.
+    """
+    at = seqs.select("source", "document", "ids", F.explode(F.sequence(F.lit(1), F.size("ids"))).alias("i")).where(F.get("ids", F.col("i") - 1).isNotNull())
+    rows = at.select("source", _until_blank(F.slice("ids", F.col("i"), depth)).alias("suffix"), F.xxhash64("document").alias("document"))
+    if heads is not None:
+        rows = rows.where(F.size("suffix") > known).withColumn("hash", F.xxhash64(F.slice("suffix", 1, known))).join(heads, ["source", "hash"], "left_semi").drop("hash")
+    return rows.distinct()
+
+
+def _runs(above: int, depth: int, least: int):
+    """Blocks of more than `above` and at most `depth` lines of one sorted partition: (source, block, document or null, number of
+    documents). A block is given only where some of its suffixes are in no longer one."""
 
     def common(same_source: np.ndarray, grid: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Longest common prefix of each row with the one before."""
-        n = len(length)
-        lcp = np.zeros(n, dtype=np.int64)
-        if n > 1:
+        lcp = np.zeros(len(length), dtype=np.int64)
+        if len(length) > 1:
             eq = (grid[1:] == grid[:-1]) & (np.arange(depth) < np.minimum(length[1:], length[:-1])[:, None]) & same_source[:, None]
             lcp[1:] = np.cumprod(eq, axis=1).sum(axis=1)
         return lcp
@@ -59,92 +70,118 @@ def _runs(depth: int, least: int):
         n = len(length)
         src = np.asarray(source, dtype=object)
         lcp = common(src[1:] == src[:-1], grid, length)
-        out_s, out_b, out_d, out_n = [], [], [], []
-        for d in range(1, depth + 1):
+        covered = np.zeros(n, bool)
+        out: tuple[list, list, list, list] = ([], [], [], [])
+        for d in range(depth, above, -1):
             start = np.flatnonzero(lcp < d)
             end = np.append(start[1:], n)
-            for a, b in zip(start, end):
-                edge = (first and a == 0) or (last and b == n)
-                if length[a] < d or (b - a < least and not edge):
-                    continue
+            edge = ((start == 0) & first) | ((end == n) & last)
+            for k in np.flatnonzero((length[start] >= d) & ((end - start >= least) | edge)):
+                a, b = start[k], end[k]
                 docs = np.unique(doc[a:b])
-                if edge:
-                    out_s += [src[a]] * len(docs)
-                    out_b += [grid[a, :d].tolist()] * len(docs)
-                    out_d += docs.tolist()
-                    out_n += [1] * len(docs)
-                elif len(docs) >= least:
-                    out_s.append(src[a]), out_b.append(grid[a, :d].tolist()), out_d.append(None), out_n.append(len(docs))
-        return out_s, out_b, out_d, out_n
+                if not edge[k] and (len(docs) < least or covered[a:b].all()):
+                    continue
+                listed = docs.tolist() if edge[k] else [None]
+                for field, values in zip(out, ([src[a]] * len(listed), [grid[a, :d].tolist()] * len(listed), listed, [1 if edge[k] else len(docs)] * len(listed))):
+                    field.extend(values)
+                covered[a:b] |= not edge[k]
+        return out
+
+    def parts(batches: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(batches).combine_chunks()
+        suffix = t.column("suffix").chunk(0)
+        length = np.diff(suffix.offsets.to_numpy())
+        flat = suffix.flatten().to_numpy()
+        grid = np.zeros((len(length), depth), dtype=np.int64)
+        grid[np.repeat(np.arange(len(length)), length), np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)] = flat
+        return t.column("source").to_pylist(), grid, length, t.column("document").to_numpy()
+
+    def head(b: pa.RecordBatch, row: int) -> tuple:
+        return b.column(0)[row].as_py(), b.column(1)[row][0].as_py()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []  # rows of the first line that may go on
         first = True
 
-        def parts(t: pa.Table):
-            t = t.combine_chunks()
-            suffix = t.column("suffix").chunk(0)
-            length = np.diff(suffix.offsets.to_numpy())
-            flat = suffix.flatten().to_numpy()
-            grid = np.zeros((len(length), depth), dtype=np.int64)
-            row = np.repeat(np.arange(len(length)), length)
-            grid[row, np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)] = flat
-            return t.column("source").to_pylist(), grid, length, t.column("document").to_numpy()
-
         def batch(x):
             return pa.RecordBatch.from_arrays([pa.array(x[0], pa.string()), pa.array(x[1], pa.list_(pa.int64())), pa.array(x[2], pa.int64()), pa.array(x[3], pa.int64())], names=["source", "block", "document", "n"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            t = pa.Table.from_batches([b])
-            held = t if held is None else pa.concat_tables([held, t])
-            source, grid, length, doc = parts(held)
-            # the last first-line run may go on in the next batch
-            stop = len(length) - 1
-            while stop > 0 and source[stop - 1] == source[-1] and grid[stop - 1, 0] == grid[-1, 0]:
-                stop -= 1
-            if stop:
-                yield batch(emit(source[:stop], grid[:stop], length[:stop], doc[:stop], first, False))
-                first = False
-                held = held.slice(stop)
-        if held is not None and held.num_rows:
+            last = head(b, b.num_rows - 1)
+            low, high = 0, b.num_rows - 1  # where the run of the last first line begins
+            while low < high:
+                mid = (low + high) // 2
+                low, high = (low, mid) if head(b, mid) == last else (mid + 1, high)
+            if low == 0 and (not held or head(held[-1], held[-1].num_rows - 1) == last):
+                held.append(b)
+                continue
+            done = [*held, b.slice(0, low)] if low else held
+            yield batch(emit(*parts(done), first, False))
+            first, held = False, [b.slice(low)]
+        if held:
             yield batch(emit(*parts(held), first, True))
 
     return run
 
 
 def repeated_blocks(seqs: DataFrame, pages: DataFrame, depth: int = DEPTH, min_documents: int = 4, min_share: float = 0.3, cut=lambda df: df) -> DataFrame:
-    """(source, block, n_documents, n_source): blocks in at least `min_documents` and `min_share` of the source's documents.
+    """(source, block, n_documents, n_source): blocks, of any number of lines, in at least `min_documents` and `min_share` of the
+    source's documents, where some of their occurrences are in no longer block.
 
     pages: the (source, document) of all rows, whether or not they hold text; a document counts once.
     """
-    arr = cut(suffixes(seqs, depth).withColumn("document", F.xxhash64("document")))
-    order = arr.repartitionByRange(F.col("source"), F.col("suffix"), F.col("document")).sortWithinPartitions("source", "suffix", "document")
-    runs = order.mapInArrow(_runs(depth, min_documents), "source string, block array<bigint>, document bigint, n bigint")
-    # a run at an edge lists its documents, which may recur beyond the edge
-    whole = runs.groupBy("source", "block", "document").agg(F.max("n").alias("n")).groupBy("source", "block").agg(F.sum("n").alias("n_documents"))
     totals = pages.distinct().groupBy("source").agg(F.count("*").alias("n_source"))
-    return whole.where(F.col("n_documents") >= min_documents).join(totals, "source").where(F.col("n_documents") >= F.ceil(F.round(F.col("n_source") * F.lit(min_share), 6)))
-
-
-def lines_to_delete(
+    out, above, heads = [], 0, None
+    while True:
+        arr = cut(suffixes(seqs, depth, heads, above))
+        order = arr.repartitionByRange(F.col("source"), F.col("suffix"), F.col("document")).sortWithinPartitions("source", "suffix", "document")
+        runs = order.mapInArrow(_runs(above, depth, min_documents), "source string, block array<bigint>, document bigint, n bigint")
+        # a run at an edge lists its documents, which may recur beyond the edge
+        whole = runs.groupBy("source", "block", "document").agg(F.max("n").alias("n")).groupBy("source", "block").agg(F.sum("n").alias("n_documents"))
+        some = whole.where(F.col("n_documents") >= min_documents).join(totals, "source").where(F.col("n_documents") >= F.ceil(F.round(F.col("n_source") * F.lit(min_share), 6)))
+        out.append(cut(some))
+        going = out[-1].where(F.size("block") == depth).select("source", F.xxhash64("block").alias("hash"))
+        if going.isEmpty():
+            return reduce(DataFrame.unionAll, out)
+        above, heads, depth = depth, going, 4 * depth
+
+
+def deleted_blocks(
     texts: DataFrame, source: str = "company", document: str = "policy", id_col: str = "chunk_id", text_col: str = "text",
     depth: int = DEPTH, min_documents: int = 4, min_share: float = 0.3, cut=lambda df: df,
 ) -> DataFrame:
-    """(id, line_no) of every line within a repeated block of its source.
+    """(id, line_no, lines): where the longest repeated blocks stand that no other repeated block of their text covers.
 
-    Rows of null source, document or text hold none, and a null document counts as no document. Blank lines are never
-    deleted and break blocks. Repeated rows count once as documents and are each reported.
+    Rows of null source, document or text hold none, and a null document counts as no document. Blank lines are in no block.
+    Repeated rows count once as documents and are each reported.
     """
-    seqs = cut(sequences(texts, source, document, id_col, text_col))
+    seqs = cut(sequences(texts, source, document, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
     pages = texts.select(F.col(source).alias("source"), F.col(document).alias("document")).dropna()
-    blocks = cut(repeated_blocks(seqs, pages, depth, min_documents, min_share, cut))
-    # each line of a repeated block heads a repeated block of its own, of one line
-    heads = blocks.where(F.size("block") == 1).select("source", F.col("block")[0].alias("line"))
-    heads = F.broadcast(heads) if heads.count() <= BROADCAST_ROWS else heads
-    lines = seqs.select("source", "id", F.posexplode("ids").alias("line_no", "line"))
-    return lines.join(heads, ["source", "line"]).select(F.col("id").alias(id_col), "line_no")
+    blocks = repeated_blocks(seqs, pages, depth, min_documents, min_share, cut)
+    first = blocks.groupBy("source", F.col("block")[0].alias("line")).agg(F.collect_set(F.struct(F.size("block").alias("d"), F.xxhash64("block").alias("h"))).alias("known"))
+    first = cut(first.withColumn("most", F.array_max(F.transform("known", lambda k: k["d"]))))
+    longest = first.agg(F.max("most")).first()[0] or 1
+    first = F.broadcast(first) if first.count() <= BROADCAST_ROWS else first
+    at = seqs.select("source", "id", "row", F.explode(F.transform("ids", lambda x, i: F.struct(i.alias("line_no"), x.alias("line"), F.slice("ids", i + 1, F.lit(longest)).alias("tail")))).alias("p"))
+    at = at.select("source", "id", "row", "p.line_no", "p.line", "p.tail").where("line is not null").join(first, ["source", "line"])
+    fits = F.filter("known", lambda k: (k["d"] <= F.size("tail")) & (F.xxhash64(F.slice("tail", F.lit(1), k["d"])) == k["h"]))
+    found = at.select("id", "row", "line_no", F.array_max(F.transform(fits, lambda k: k["d"])).alias("lines")).where("lines > 0")
+    by = Window.partitionBy("row").orderBy("line_no")
+    before = F.lag(F.col("line_no") + F.col("lines")).over(by)
+    # ends of blocks never fall back from line to line, so one look at the line before tells whether it covers this one
+    return found.withColumn("before", before).where(F.col("before").isNull() | (F.col("before") < F.col("line_no") + F.col("lines"))).select(F.col("id").alias(id_col), "row", "line_no", "lines")
+
+
+def lines_to_delete(texts: DataFrame, source: str = "company", document: str = "policy", id_col: str = "chunk_id", text_col: str = "text", **how) -> DataFrame:
+    """(id, line_no) of every line within a repeated block of its source, see deleted_blocks."""
+    blocks = deleted_blocks(texts, source, document, id_col, text_col, **how)
+    by = Window.partitionBy("row").orderBy("line_no")
+    ends = F.max(F.col("line_no") + F.col("lines")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    # blocks may overlap: each gives the lines beyond those before it
+    own = blocks.withColumn("from", F.greatest("line_no", F.coalesce(ends, F.lit(0))))
+    return own.where(F.col("from") < F.col("line_no") + F.col("lines")).select(id_col, F.explode(F.sequence("from", F.col("line_no") + F.col("lines") - 1)).alias("line_no"))
 
 
 def without_lines(texts: DataFrame, found: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from palimpsest.llm.lookalikes import affected, one_form
-from palimpsest.llm.repeated_lines import lines_to_delete, without_lines
+from palimpsest.llm.repeated_lines import deleted_blocks, lines_to_delete, without_lines
 from palimpsest.llm.residue import marked, residue_windows
 from palimpsest.session import cut, table
 
@@ -30,12 +30,17 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines_to_delete(table(spark, sf_dir, "doc_chunks"), cut=cut)
 
 
+def p7_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the repeated blocks stand that no other covers, and how many lines they have."""
+    return deleted_blocks(table(spark, sf_dir, "doc_chunks"), cut=cut).drop("row")
+
+
 def p7_without(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = table(spark, sf_dir, "doc_chunks")
     return without_lines(chunks, lines_to_delete(chunks, cut=cut))
 
 
-QUERIES = {"p2_found": p2_found, "p2_one_form": p2_one_form, "p4_found": p4_found, "p4_marked": p4_marked, "p7_found": p7_found, "p7_without": p7_without}
+QUERIES = {"p2_found": p2_found, "p2_one_form": p2_one_form, "p4_found": p4_found, "p4_marked": p4_marked, "p7_found": p7_found, "p7_blocks": p7_blocks, "p7_without": p7_without}
 
 ORACLES = {
     "p7_found": r"""

@@ -2,7 +2,7 @@ import random
 import re
 from collections import defaultdict
 
-from palimpsest.llm.repeated_lines import lines_to_delete, repeated_blocks, sequences, without_lines
+from palimpsest.llm.repeated_lines import deleted_blocks, lines_to_delete, repeated_blocks, sequences, without_lines
 
 SCHEMA = "chunk_id long, company string, policy string, text string, source string, document string, block string"
 
@@ -39,11 +39,23 @@ def test_blocks_of_several_lines(spark):
     rows = [(i, "a", f"p{i}", f"own {'abcdefgh'[i]}\nPrint\nShare\nown too {'abcdefgh'[i]}") for i in range(8)]
     df = frame(spark, rows)
     blocks = repeated_blocks(sequences(df, "company", "policy", "chunk_id", "text"), df.selectExpr("company source", "policy document")).collect()
-    assert sorted(len(b.block) for b in blocks) == [1, 1, 2] and {b.n_documents for b in blocks} == {8}
+    assert sorted(len(b.block) for b in blocks) == [1, 2] and {b.n_documents for b in blocks} == {8}  # Share alone is the end of Print, Share
+    assert sorted(map(tuple, deleted_blocks(df).drop("row").collect())) == [(i, 1, 2) for i in range(8)]
     left = {r.chunk_id: r.text for r in without_lines(df, lines_to_delete(df)).collect()}
     assert left[0] == "own a\nown too a"
 
 
+def test_long_blocks_are_reported_whole(spark):
+    """Blocks far longer than a round compares, one within another, and a part of one elsewhere."""
+    notice = [f"clause {chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(75)]
+    rows = [(i, "a", f"p{i}", "\n".join([f"own {'abcdefgh'[i]}", *notice, f"end {'abcdefgh'[i]}"])) for i in range(8)]
+    rows += [(10 + i, "a", f"p{i}", "\n".join(["x" * (i + 1), *notice[10:20]])) for i in range(3)] + [(20, "a", "p0", "\n".join(notice[:30] + ["zz"] + notice[30:36]))]
+    df = frame(spark, rows)
+    got = sorted(map(tuple, deleted_blocks(df).drop("row").collect()))
+    assert got == [(i, 1, 75) for i in range(8)] + [(10 + i, 1, 10) for i in range(3)] + [(20, 0, 30), (20, 31, 6)]
+    assert sorted(map(tuple, lines_to_delete(df).collect())) == brute(rows)
+
+
 def test_many_partitions_share_a_hot_line(spark):
     rows = [(i, "a", f"p{i % 40}", f"Hot line\nbody {chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(600)]
     spark.conf.set("spark.sql.shuffle.partitions", "16")
