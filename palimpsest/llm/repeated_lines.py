@@ -55,7 +55,7 @@ def suffixes(seqs: DataFrame, depth: int, heads: DataFrame | None = None, known:
 
 def _runs(above: int, depth: int, least: int):
     """Blocks of more than `above` and at most `depth` lines of one sorted partition: (source, block, document or null, number of
-    documents). A block is given only where some of its suffixes are in no longer one."""
+    documents). A block is given only where not all of its suffixes go on alike."""
 
     def common(same_source: np.ndarray, grid: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Longest common prefix of each row with the one before."""
@@ -70,7 +70,7 @@ def _runs(above: int, depth: int, least: int):
         n = len(length)
         src = np.asarray(source, dtype=object)
         lcp = common(src[1:] == src[:-1], grid, length)
-        covered = np.zeros(n, bool)
+        longer: set[tuple[int, int]] = set()  # runs of which all suffixes go on in one block
         out: tuple[list, list, list, list] = ([], [], [], [])
         for d in range(depth, above, -1):
             start = np.flatnonzero(lcp < d)
@@ -79,12 +79,12 @@ def _runs(above: int, depth: int, least: int):
             for k in np.flatnonzero((length[start] >= d) & ((end - start >= least) | edge)):
                 a, b = start[k], end[k]
                 docs = np.unique(doc[a:b])
-                if not edge[k] and (len(docs) < least or covered[a:b].all()):
+                if not edge[k] and (len(docs) < least or (a, b) in longer):
                     continue
                 listed = docs.tolist() if edge[k] else [None]
                 for field, values in zip(out, ([src[a]] * len(listed), [grid[a, :d].tolist()] * len(listed), listed, [1 if edge[k] else len(docs)] * len(listed))):
                     field.extend(values)
-                covered[a:b] |= not edge[k]
+                longer.add((a, b))
         return out
 
     def parts(batches: list[pa.RecordBatch]):
@@ -128,7 +128,7 @@ def _runs(above: int, depth: int, least: int):
 
 def repeated_blocks(seqs: DataFrame, pages: DataFrame, depth: int = DEPTH, min_documents: int = 4, min_share: float = 0.3, cut=lambda df: df) -> DataFrame:
     """(source, block, n_documents, n_source): blocks, of any number of lines, in at least `min_documents` and `min_share` of the
-    source's documents, where some of their occurrences are in no longer block.
+    source's documents, where not all of their occurrences go on alike.
 
     pages: the (source, document) of all rows, whether or not they hold text; a document counts once.
     """

@@ -56,6 +56,12 @@ def test_long_blocks_are_reported_whole(spark):
     assert sorted(map(tuple, lines_to_delete(df).collect())) == brute(rows)
 
 
+def test_longer_blocks_below_the_share(spark):
+    """A line of 8 of 20 documents whose two continuations stand in 4 each, which is below the share of 30 %."""
+    rows = [(i, "a", f"p{i}", f"Print\n{'Share' if i < 4 else 'Save'}\nown {chr(97 + i)}" if i < 8 else f"own {chr(97 + i)}") for i in range(20)]
+    assert sorted(map(tuple, lines_to_delete(frame(spark, rows)).collect())) == brute(rows) == [(i, 0) for i in range(8)]
+
+
 def test_many_partitions_share_a_hot_line(spark):
     rows = [(i, "a", f"p{i % 40}", f"Hot line\nbody {chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(600)]
     spark.conf.set("spark.sql.shuffle.partitions", "16")
