@@ -1,9 +1,12 @@
 """One consistent form for texts that look the same (problem 2).
 
 Runs of text between plain white space are the values. Those holding a character outside plain Latin text are reduced to
-their distinct values, mapped to what they look like, and grouped in SQL under Spark's accent-sensitive Unicode collation;
-each class takes as canonical member the one with the fewest characters outside plain text (ties by code point order).
-The mapped value is itself a member of its class, so that a class has a plain member even where none occurs in the corpus.
+their distinct values, and letters and signs are mapped to the plain ones they look like. Values so mapped are grouped in SQL
+under Spark's accent-sensitive Unicode collation, which brings together accents stored apart or in one, in any order, and
+leaves out what cannot be seen. Each class takes as canonical member the one that its map leaves alone and that has the fewest
+characters outside plain text (ties by composed form, then code point order), and every other value of the class is rewritten to it. One mapped
+value of each class is written out in composed form and is a member too, so that a class has a plain one even where none
+occurs in the corpus.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from pyspark.sql import types as T
 CYRILLIC = dict(zip("аеорсухіјѕԁһԛԝӏкАВЕЗКМНОРСТУХІЈЅԌԚԜ", "aeopcyxijsdhqwlkAB" + "E3KMHOPCTYXIJSGQW"))
 GREEK = dict(zip("οαινρυχγκΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "oaivpuxykABEZHIKMNOPTYX"))
 ARMENIAN = dict(zip("оսհօոցԼՕՏ", "ouhongLOS"))
+TO_LATIN = {"CYRILLIC": CYRILLIC, "GREEK": GREEK, "ARMENIAN": ARMENIAN, "LATIN": {}}
 LOOKALIKE = {**ARMENIAN, **GREEK, **CYRILLIC}
-LATIN_TO_CYRILLIC = {v: k for k, v in reversed(CYRILLIC.items()) if v.isalpha()}
+FROM_LATIN = {script: {v: k for k, v in reversed(pairs.items()) if v.isalpha()} for script, pairs in TO_LATIN.items()}
+TIE = "⁀"  # stands before joiners and selectors that belong to what is seen; the collation does not ignore it
 # Characters that cannot be seen.
 INVISIBLE = frozenset("­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩ㅤ﻿ﾠ")
 # Java and Python: a character that plain Latin text does not hold.
@@ -51,53 +56,86 @@ def _script(ch: str) -> str:
 
 
 def _joins(text: str, i: int) -> bool:
-    """Whether the joiner at i belongs where it stands: within emoji, or between letters of a script that uses joiners."""
-    if not 0 < i < len(text) - 1:
+    """Whether the unseen character at i belongs to what is seen: within emoji, or between letters of a script that uses joiners."""
+    if i == 0:
         return False
-    a, b = text[i - 1], text[i + 1]
-    if text[i] == "‍" and (a == "️" or unicodedata.category(a) in ("So", "Sk")) and unicodedata.category(b) == "So":
+    a, ch, b = text[i - 1], text[i], text[i + 1 : i + 2]
+    if ch in "\ufe0e\ufe0f" or "\U000e0020" <= ch <= "\U000e007f":
+        return True
+    if not b:
+        return False
+    if ch == "\u200d" and (a == "\ufe0f" or unicodedata.category(a) in ("So", "Sk")) and unicodedata.category(b) == "So":
         return True
     shaped = lambda c: unicodedata.category(c)[0] in "LM" and not c.isascii() and _script(c) not in ("LATIN", "CYRILLIC", "GREEK", "FULLWIDTH", "MATHEMATICAL", "")
-    return text[i] in "‌‍" and shaped(a) and shaped(b)
+    return ch in "\u200c\u200d" and shaped(a) and shaped(b)
 
 
 def _unmix(word: str) -> str:
-    """A word of one alphabet: look-alike letters of another take the form of the word's own."""
-    scripts = {_script(c) for c in word}
-    if "LATIN" not in scripts or not scripts & {"CYRILLIC", "GREEK", "ARMENIAN"}:
+    """A word of one alphabet: look-alike letters of another take the form of the word's own, which is the one that some of its letters
+    are found in alone; Latin if that is none or several."""
+    of = {c: _script(c) for c in word}
+    scripts = set(of.values()) & TO_LATIN.keys()
+    if len(scripts) < 2:
         return word
-    cyrillic_own = any(_script(c) == "CYRILLIC" and c not in CYRILLIC for c in word)
-    if cyrillic_own and all(c in LATIN_TO_CYRILLIC for c in word if _script(c) == "LATIN"):
-        return "".join(LATIN_TO_CYRILLIC.get(c, c) for c in word)
-    return "".join(LOOKALIKE.get(c, c) for c in word)
+    alone = {of[c] for c in word if of[c] in scripts - {"LATIN"} and c not in TO_LATIN[of[c]]}
+    own = alone.pop() if len(alone) == 1 else "LATIN"
+    back = FROM_LATIN[own]
+    plain = {c: TO_LATIN[of[c]].get(c, c) if of[c] in scripts else c for c in of}
+    if own != "LATIN":
+        if any(of[c] in scripts - {own} and plain[c] not in back for c in word):
+            own = "LATIN" if "LATIN" in scripts else own  # it has letters of its own in two alphabets
+        else:
+            return "".join(c if of[c] in (own, "") or of[c] not in scripts else back[plain[c]] for c in word)
+    return "".join(plain[c] for c in word) if "LATIN" in scripts else word
 
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Letters of a word with the accents and unseen characters among them.
+_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f{''.join(sorted(INVISIBLE))}])*")
 
 
 @lru_cache(maxsize=100_000)
-def looks_like(value: str) -> str:
-    """What a text looks like: no hidden characters, plain spaces, plain letters and digits, composed accents, one alphabet a word."""
+def look_alike(value: str) -> str:
+    """A value in plain letters, digits, signs and spaces of the same look, one alphabet a word. Accents and unseen characters stay as they
+    are; those that belong to what is seen are tied."""
     if not _ODD.search(value):
         return value
     east = any(_script(c) == "CJK" for c in value)
     out = []
     for i, ch in enumerate(value):
-        if ch in INVISIBLE:
-            if _joins(value, i):
-                out.append(ch)
+        if not ch.isascii() and (ch in INVISIBLE or ch in "\ufe0e\ufe0f" or ch >= "\U000e0020"):
+            out.append(TIE + ch if _joins(value, i) else ch)
             continue
         form = None if ch.isascii() else _variant(ch)
         # wide signs and the wide space are the usual form beside East Asian letters
         if form is not None and east and unicodedata.east_asian_width(ch) == "F" and not ch.isalnum():
             form = None
         out.append(ch if form is None else form)
-    return _WORD.sub(lambda m: _unmix(m.group()), unicodedata.normalize("NFC", "".join(out)))
+    return _WORD.sub(lambda m: _unmix(m.group()), "".join(out))
+
+
+def visible(mapped: str) -> str:
+    """A mapped value in composed form without characters that cannot be seen, and without ties."""
+    out = []
+    for i, ch in enumerate(mapped):
+        if ch == TIE or ch in INVISIBLE and not (i and mapped[i - 1] == TIE):
+            continue
+        out.append(ch)
+    return unicodedata.normalize("NFC", "".join(out))
+
+
+def looks_like(value: str) -> str:
+    """What a text looks like: no hidden characters, plain spaces, plain letters and digits, composed accents, one alphabet a word."""
+    return visible(look_alike(value)) if _ODD.search(value) else value
 
 
 @F.pandas_udf(T.StringType())
 def look_alike_map(values: pd.Series) -> pd.Series:
-    return values.map(looks_like)
+    return values.map(look_alike)
+
+
+@F.pandas_udf(T.StringType())
+def written_out(mapped: pd.Series) -> pd.Series:
+    return mapped.map(visible)
 
 
 def candidates(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -107,18 +145,23 @@ def candidates(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def canonical_forms(cands: DataFrame) -> DataFrame:
     """value -> canonical, for values that are not canonical themselves."""
+    spark = cands.sparkSession
     values = cands.groupBy("value").agg(F.count("*").alias("n")).select("value", look_alike_map("value").alias("mapped"))
-    return values.sparkSession.sql(
+    classes = spark.sql(
+        f"""
+        SELECT mapped COLLATE UNICODE AS class_key, min(mapped) AS sample,
+          min(struct(replace(mapped, '{TIE}', '') <> value AS mapped_away, 2 * regexp_count(value, r'{ODD}') + 1 AS odd, value AS member)) AS best
+        FROM {{values}} GROUP BY mapped COLLATE UNICODE
+        """,
+        values=values,
+    ).withColumn("plain", written_out("sample"))
+    return spark.sql(
         f"""
-        WITH valued AS (SELECT value, mapped FROM {{values}}),
-        members AS (SELECT mapped, value FROM valued UNION ALL SELECT mapped, mapped FROM valued),
-        classes AS (
-          SELECT mapped COLLATE UNICODE AS class_key, min(struct(regexp_count(value, r'{ODD}') AS odd, value AS member)).member AS canonical
-          FROM members GROUP BY mapped COLLATE UNICODE)
-        SELECT v.value, c.canonical FROM valued v JOIN classes c ON v.mapped COLLATE UNICODE = c.class_key
-        WHERE c.canonical <> v.value AND v.mapped <> v.value
+        WITH chosen AS (SELECT class_key, least(best, struct(false AS mapped_away, 2 * regexp_count(plain, r'{ODD}') AS odd, plain AS member)).member AS canonical FROM {{classes}})
+        SELECT v.value, c.canonical FROM {{values}} v JOIN chosen c ON v.mapped COLLATE UNICODE = c.class_key WHERE c.canonical <> v.value
         """,
         values=values,
+        classes=classes,
     )
 
 
