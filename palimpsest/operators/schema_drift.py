@@ -2,18 +2,22 @@
 
 Each file's records are read into typed leaves; the schema of a file is the tree of its leaf paths. Consecutive files
 of a feed are compared by a constrained tree edit distance: nodes of the same label match at no cost and are compared
-below, a leaf may be relabelled only to a sibling leaf whose values agree on the summaries both files hold, and what is
-left is deleted or inserted. The cheapest script gives the add, remove and rename rows; a delete and an insert of one
-label under different parents with agreeing values is noted as a move (a pair of removed and added in the change rows).
-The scripts are then compiled to one projection per file, which reads every record into the same columns.
-
-What is heavy (leaves of all records, agreement of values) is done in plain aggregations and equi-joins; Python sees one
-row per pair of files with bounded schema trees, and one row per change when types are followed through renames.
+below; a leaf may be relabelled to a sibling leaf and an object to a sibling object whose values agree on the summaries
+both files hold, or a leaf moved under another parent on the same evidence; what is left is deleted or inserted. The
+cheapest script has steps removed, added, renamed, renamed_node and moved; change rows tell a move as a field removed and
+a field added. The scripts are then compiled to one projection per file, which reads every record into the same typed columns.
+
+Values travel as 64-bit marks, one row a record. They are looked at only between files whose paths differ: there each field
+that vanished or appeared gets a signature over the summaries both files hold, and fields of equal signature agree. Python sees
+one row per pair of files with its two trees, and one row per change when types are followed through renames.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from collections import Counter, defaultdict
+from hashlib import blake2b
 from itertools import groupby
 
 import pandas as pd
@@ -23,9 +27,10 @@ from pyspark.sql import functions as F
 
 from palimpsest.session import spread
 
-DELETE, INSERT, RELABEL, FORBIDDEN = 1.0, 1.0, 0.5, 1e6
+DELETE, INSERT, RELABEL, MOVE, FORBIDDEN = 1.0, 1.0, 0.5, 0.75, 1e6
+MOST_COLUMNS = 1_000  # fields that get a column of their own, those of most files first
 
-LEAVES_SCHEMA = "file_id long, record_id long, line_no int, summary_key string, path string, kind string, value string"
+SHAPES_SCHEMA = "file_id long, line_no int, summary_key string, paths array<string>, kinds array<string>, marks array<long>"
 
 
 def kind_of(value: object) -> str | None:
@@ -55,28 +60,35 @@ def leaves_of(obj: dict, prefix: str = "") -> list[tuple[str, object]]:
     return out
 
 
-def _explode(batches):
+def parsed(text: str | None) -> dict | None:
+    """The JSON object a line holds; None for any other line."""
+    try:
+        obj = json.loads(text) if text else None
+    except (ValueError, RecursionError):
+        return None
+    return obj if isinstance(obj, dict) else None
+
+
+def mark_of(value: object) -> int:
+    """64 bits that tell values (and types) apart; 0 for null."""
+    return 0 if value is None else int.from_bytes(blake2b(f"{kind_of(value)} {json.dumps(value, sort_keys=True)}".encode(), digest_size=8).digest(), "little", signed=True) or 1
+
+
+def _shapes(batches):
     for batch in batches:
-        cols = {k: [] for k in ("file_id", "record_id", "line_no", "summary_key", "path", "kind", "value")}
-        names = batch.schema.names
-        for rec in zip(*(batch.column(names.index(c)).to_pylist() for c in ("file_id", "record_id", "line_no", "summary_key", "raw_json"))):
-            try:
-                obj = json.loads(rec[4]) if rec[4] else None
-            except (ValueError, RecursionError):
-                continue
-            if not isinstance(obj, dict):
-                continue
-            for path, v in leaves_of(obj):
-                for k, x in zip(cols, (*rec[:4], path, kind_of(v), None if v is None else json.dumps(v, sort_keys=True, ensure_ascii=False))):
-                    cols[k].append(x)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[k], t) for k, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()))], names=list(cols)
-        )
-
-
-def record_leaves(records: DataFrame) -> DataFrame:
-    """Typed leaves of every record that is a JSON object; broken, empty and other lines are left out."""
-    return records.select("file_id", "record_id", "line_no", "summary_key", "raw_json").mapInArrow(_explode, LEAVES_SCHEMA)
+        cols: list[list] = [[] for _ in range(6)]
+        for *own, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if (obj := parsed(text)) is not None:
+                leaves = leaves_of(obj)
+                for col, x in zip(cols, (*own, [p for p, _ in leaves], [kind_of(v) for _, v in leaves], [mark_of(v) for _, v in leaves])):
+                    col.append(x)
+        types = (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["file_id", "line_no", "summary_key", "paths", "kinds", "marks"])
+
+
+def record_shapes(records: DataFrame) -> DataFrame:
+    """Paths, types and marks of the leaves of every record that is a JSON object; broken, empty and other lines are left out."""
+    return records.select("file_id", "line_no", "summary_key", "raw_json").mapInArrow(_shapes, SHAPES_SCHEMA)
 
 
 def file_order(files: DataFrame) -> DataFrame:
@@ -87,14 +99,11 @@ def file_order(files: DataFrame) -> DataFrame:
     )
 
 
-def file_fields(leaves: DataFrame) -> DataFrame:
+def file_fields(shapes: DataFrame) -> DataFrame:
     """Fields of each file with their type: of the values that are not null; of several the first in the order
-    array, boolean, decimal, integer, string, save that integer beside decimal is decimal."""
-    return leaves.groupBy("file_id", "path").agg(F.min("kind").alias("kind"), F.count("kind").alias("n_values"))
-
-
-def parent_of(path: str):
-    return F.when(F.instr(path, ".") > 0, F.regexp_replace(path, r"\.[^.]*$", "")).otherwise("")
+    array, boolean, decimal, integer, string."""
+    leaf = shapes.select("file_id", F.explode(F.arrays_zip("paths", "kinds")).alias("f"))
+    return leaf.groupBy("file_id", F.col("f.paths").alias("path")).agg(F.min("f.kinds").alias("kind"))
 
 
 def _children(paths: list[str]) -> dict:
@@ -143,63 +152,72 @@ def assign(cost: list[list[float]]) -> list[int]:
     return out
 
 
+def _matched(gone: list[str], come: list[str], cost_of) -> tuple[float, dict[str, str]]:
+    """Cheapest matching of what vanished with what appeared, where the cost of a pair is that of deleting and inserting both or less."""
+    n = len(gone) + len(come)
+    cost = [[0.0] * n for _ in range(n)]
+    for i in range(n):
+        for j in range(n):
+            if i < len(gone) and j < len(come):
+                cost[i][j] = cost_of(gone[i], come[j])
+            elif i < len(gone):
+                cost[i][j] = DELETE if j - len(come) == i else FORBIDDEN
+            elif j < len(come):
+                cost[i][j] = INSERT if i - len(gone) == j else FORBIDDEN
+    pairs = [(gone[i], come[j], cost[i][j]) for i, j in enumerate(assign(cost)) if i < len(gone) and j < len(come)]
+    return sum(c for *_, c in pairs), {x: y for x, y, _ in pairs}
+
+
+def _within(path: str) -> str:
+    return path.rpartition(".")[0]
+
+
 def edit_script(before: list[str], after: list[str], agreement: dict[tuple[str, str], float]) -> tuple[float, list[tuple[str, str, str]]]:
-    """Cheapest script between two schema trees: its cost and (removed | added | renamed, old path, new path) rows.
+    """Cheapest script between two schema trees: its cost and (step, old path, new path) rows.
 
-    agreement: evidence of each permitted relabelling, keyed by the two leaf paths; more evidence is a little cheaper.
-    The trees are unordered; since labels are unique among siblings and only leaves may be relabelled, the distance
-    splits into one assignment per pair of matched inner nodes.
+    agreement: evidence (values that agree) of each two leaves that may be one field; more of it is a little cheaper. The trees are
+    unordered; since labels are unique among siblings, the distance splits into one assignment per pair of matched inner
+    nodes, one of the inner nodes left under the same parent, and one of the leaves left anywhere. The steps of leaves below
+    a renamed node are given as moved and cost nothing more.
     """
     script: list[tuple[str, str, str]] = []
-
-    def wipe(node: dict, at: str, kind: str) -> float:
-        total = 0.0
-        for (label, leaf), below in node.items():
-            path = f"{at}.{label}" if at else label
-            if leaf:
-                script.append((kind, path, "") if kind == "removed" else (kind, "", path))
-                total += DELETE if kind == "removed" else INSERT
-            else:
-                total += wipe(below, path, kind)
-        return total
-
-    def walk(x: dict, y: dict, at: str) -> float:
-        join = lambda label: f"{at}.{label}" if at else label
-        total = 0.0
-        for k in x.keys() & y.keys():
-            if not k[1]:
-                total += walk(x[k], y[k], join(k[0]))
-        for k in x.keys() - y.keys():
-            if not k[1]:
-                total += wipe({k: x[k]}, at, "removed")
-        for k in y.keys() - x.keys():
-            if not k[1]:
-                total += wipe({k: y[k]}, at, "added")
-        gone = sorted(join(k[0]) for k in x.keys() - y.keys() if k[1])
-        come = sorted(join(k[0]) for k in y.keys() - x.keys() if k[1])
-        n = len(gone) + len(come)
-        if not n:
-            return total
-        cost = [[0.0] * n for _ in range(n)]
-        for i in range(n):
-            for j in range(n):
-                if i < len(gone) and j < len(come):
-                    e = agreement.get((gone[i], come[j]))
-                    cost[i][j] = FORBIDDEN if e is None else RELABEL + 0.25 / (1 + e)
-                elif i < len(gone):
-                    cost[i][j] = DELETE if j - len(come) == i else FORBIDDEN
-                elif j < len(come):
-                    cost[i][j] = INSERT if i - len(gone) == j else FORBIDDEN
-        for i, j in enumerate(assign(cost)):
-            if i < len(gone):
-                total += cost[i][j]
-                script.append(("renamed", gone[i], come[j]) if j < len(come) else ("removed", gone[i], ""))
-            elif j < len(come):
-                total += cost[i][j]
-                script.append(("added", "", come[j]))
-        return total
-
-    return walk(_children(before), _children(after), ""), sorted(script)
+    gone: dict[str, list[str]] = {}  # leaves left over, by the topmost vanished node above them (a leaf by itself)
+    come: dict[str, list[str]] = {}
+    cost = 0.0
+
+    def leaves(node: dict, at: str) -> list[str]:
+        return [x for (label, leaf), below in node.items() for x in ([f"{at}.{label}"] if leaf else leaves(below, f"{at}.{label}"))]
+
+    todo = [(_children(before), _children(after), "")]
+    while todo:
+        x, y, at = todo.pop()
+        path = lambda k, at=at: f"{at}.{k[0]}" if at else k[0]
+        todo += [(x[k], y[k], path(k)) for k in x.keys() & y.keys() if not k[1]]
+        for mine, other, left in ((x, y, gone), (y, x, come)):
+            left.update({path(k): leaves(mine[k], path(k)) for k in mine.keys() - other.keys() if not k[1]})
+        old, new = (sorted(path(k) for k in p.keys() - q.keys() if k[1]) for p, q in ((x, y), (y, x)))
+        more, pairs = _matched(old, new, lambda p, q: RELABEL + 0.25 / (1 + agreement[p, q]) if (p, q) in agreement else FORBIDDEN)
+        cost += more
+        script += [("renamed", p, q) for p, q in pairs.items()]
+        gone.update({p: [p] for p in old if p not in pairs})
+        come.update({q: [q] for q in new if q not in pairs.values()})
+
+    def of_node(p: str, q: str) -> float:
+        inside = [(a, q + a[len(p) :]) for a in gone[p]]
+        if p in gone[p] or q in come[q] or _within(p) != _within(q) or sorted(b for _, b in inside) != sorted(come[q]) or not all(pair in agreement for pair in inside):
+            return FORBIDDEN
+        return RELABEL + 0.25 / (1 + sum(agreement[pair] for pair in inside))
+
+    more, nodes = _matched(sorted(p for p in gone if p not in gone[p]), sorted(q for q in come if q not in come[q]), of_node)
+    cost += more
+    for p, q in nodes.items():
+        script += [("renamed_node", p, q), *(("moved", a, q + a[len(p) :]) for a in gone.pop(p))]
+        come.pop(q)
+    old, new = sorted(x for xs in gone.values() for x in xs), sorted(x for xs in come.values() for x in xs)
+    more, pairs = _matched(old, new, lambda p, q: MOVE + 0.25 / (1 + agreement[p, q]) if agreement.get((p, q)) and _within(p) != _within(q) else FORBIDDEN)
+    script += [("moved", p, q) for p, q in pairs.items()]
+    script += [("removed", p, "") for p in old if p not in pairs] + [("added", "", q) for q in new if q not in pairs.values()]
+    return cost + more + DELETE * (len(old) - len(pairs)) + INSERT * (len(new) - len(pairs)), sorted(script)
 
 
 def _scripts(batches):
@@ -213,50 +231,39 @@ def _scripts(batches):
         yield pd.DataFrame(rows, columns=["feed", "file_id", "seq", "distance", "change_kind", "old_field", "new_field"])
 
 
-def edit_scripts(leaves: DataFrame, order: DataFrame, fields: DataFrame) -> DataFrame:
+def edit_scripts(shapes: DataFrame, order: DataFrame, fields: DataFrame) -> DataFrame:
     """One row per step of the cheapest script between each file and the one before in its feed.
 
-    Agreement is settled by equi-joins: a vanished and an appeared leaf of one parent are joined by summary; a pair that
-    differs on any summary held by both files is out, and the number of summaries that agree on a value is its evidence.
-    Two files without a common summary give no evidence, so nothing between them is renamed.
-    If both files hold a summary several times, its last line counts. Files without a readable record have no fields.
+    A vanished and an appeared leaf agree when their values (and types) are equal on every summary that both files hold; the
+    number of those values that are not null is their evidence. Two files without a common summary give none, so
+    nothing between them is renamed or moved. If a file holds a summary several times, its last line counts. Files without
+    a readable record have no fields.
     """
-    pairs = order.where("prev_id is not null")
+    pairs = order.where("prev_id is not null").select("feed", "file_id", "seq", "prev_id")
     now = fields.select("file_id", "path")
-    before = pairs.select("file_id", F.col("prev_id").alias("p")).join(now.select(F.col("file_id").alias("p"), "path"), "p").select("file_id", "path")
+    before = pairs.select("file_id", "prev_id").join(now.select(F.col("file_id").alias("prev_id"), "path"), "prev_id").select("file_id", "path")
     after = pairs.select("file_id").join(now, "file_id")
-    sides = (
-        before.withColumn("side", F.lit(1)).unionByName(after.withColumn("side", F.lit(2)))
-        .groupBy("file_id", "path").agg(F.sum("side").alias("side"))
-    )
-    differ = sides.where("side <> 3").select("file_id", "path", "side", parent_of("path").alias("parent"))
-    summaries = leaves.where("summary_key is not null").groupBy("file_id", "summary_key").agg(F.max("line_no").alias("line_no"))
-    both = (
-        pairs.select("file_id", F.col("prev_id").alias("p"))
-        .join(summaries.select(F.col("file_id").alias("p"), "summary_key", F.col("line_no").alias("was_line")), "p")
-        .join(summaries.select("file_id", "summary_key", F.col("line_no").alias("now_line")), ["file_id", "summary_key"])
-    )
-    cands = differ.where("side = 1").select("file_id", "parent", F.col("path").alias("old")).join(
-        differ.where("side = 2").select("file_id", "parent", F.col("path").alias("new")), ["file_id", "parent"]
-    )
-    cell = F.struct("kind", "value").alias("cell")
-    was = leaves.select(F.col("file_id").alias("p"), "summary_key", F.col("line_no").alias("was_line"), F.col("path").alias("old"), cell)
-    new = leaves.select("file_id", "summary_key", F.col("line_no").alias("now_line"), F.col("path").alias("new"), cell)
-    asked = both.join(cands, "file_id")
+    sides = before.withColumn("side", F.lit(1)).unionByName(after.withColumn("side", F.lit(2))).groupBy("file_id", "path").agg(F.sum("side").alias("side"))
+    of = lambda *which: F.collect_list(F.when(F.col("side").isin(*which), F.col("path")))
+    trees = sides.groupBy("file_id").agg(of(1, 3).alias("before"), of(2, 3).alias("after"), of(1).alias("gone"), of(2).alias("come")).where((F.size("gone") > 0) | (F.size("come") > 0))
+    asked = trees.where((F.size("gone") > 0) & (F.size("come") > 0)).join(pairs, "file_id").select("file_id", "prev_id", "gone", "come")
+    last = lambda rows: rows.groupBy("file_id", "summary_key").agg(F.max_by(F.struct("paths", "marks"), "line_no").alias("r"))
+    keyed = shapes.where("summary_key is not null")
+    # only records of files whose paths differ, and of the files before them, are brought together
+    new = last(keyed.join(asked.select("file_id"), "file_id", "left_semi"))
+    old = last(keyed.join(asked.select(F.col("prev_id").alias("file_id")).distinct(), "file_id", "left_semi"))
+    both = asked.join(old.select(F.col("file_id").alias("prev_id"), "summary_key", F.col("r").alias("was")), "prev_id").join(new.withColumnRenamed("r", "now"), ["file_id", "summary_key"])
+    cell = lambda side, paths, which: F.transform(paths, lambda p: F.struct(F.lit(which).alias("side"), p.alias("path"), F.get(f"{side}.marks", F.array_position(f"{side}.paths", p).cast("int") - 1).alias("mark")))
+    cells = both.select("file_id", "summary_key", F.explode(F.concat(cell("was", "gone", 1), cell("now", "come", 2))).alias("c")).select("file_id", "summary_key", "c.*")
+    salted = lambda salt: F.bit_xor(F.xxhash64(F.lit(salt), "summary_key", "mark", F.col("mark").isNull()))
+    signed = cells.groupBy("file_id", "side", "path").agg(salted(1).alias("s1"), salted(2).alias("s2"), F.count_if(F.col("mark") != 0).alias("n"))
     agreement = (
-        asked.join(was.withColumnRenamed("cell", "was"), ["p", "summary_key", "was_line", "old"], "left")
-        .join(new.withColumnRenamed("cell", "now"), ["file_id", "summary_key", "now_line", "new"], "left")
-        .groupBy("file_id", "old", "new")
-        .agg(F.count_if(~F.col("was").eqNullSafe(F.col("now"))).alias("bad"), F.count_if(F.col("was.value").isNotNull() & F.col("now.value").isNotNull()).alias("n"))
-        .where("bad = 0")
+        signed.where("side = 1").select("file_id", "s1", "s2", F.col("path").alias("old"), "n")
+        .join(signed.where("side = 2").select("file_id", "s1", "s2", F.col("path").alias("new")), ["file_id", "s1", "s2"])
         .groupBy("file_id").agg(F.collect_list(F.struct("old", "new", "n")).alias("agreement"))
     )
-    trees = sides.groupBy("file_id").agg(
-        F.collect_list(F.when(F.col("side") != 2, F.col("path"))).alias("before"), F.collect_list(F.when(F.col("side") != 1, F.col("path"))).alias("after"), F.max("side").alias("m"), F.min("side").alias("l")
-    ).where("not (m = 3 and l = 3)").drop("m", "l")
-    return pairs.join(trees, "file_id").join(agreement, "file_id", "left").select("feed", "file_id", "seq", "before", "after", "agreement").mapInPandas(
-        _scripts, "feed string, file_id long, seq int, distance double, change_kind string, old_field string, new_field string"
-    )
+    rows = pairs.join(trees.drop("gone", "come"), "file_id").join(agreement, "file_id", "left").select("feed", "file_id", "seq", "before", "after", "agreement")
+    return spread(rows, "file_id").mapInPandas(_scripts, "feed string, file_id long, seq int, distance double, change_kind string, old_field string, new_field string")
 
 
 def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -283,8 +290,9 @@ def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
 def retypings(scripts: DataFrame, order: DataFrame, fields: DataFrame) -> DataFrame:
     """Fields whose type differs from their last known one, followed through renames.
 
-    Of each (feed, path) only files whose type differs from the last observed under that path, and the last before and the
-    first after each rename of it, are followed in order; long runs of one type are thinned to their ends before.
+    Fields that are never renamed in their feed are told by a window over their own files. Of the others only files whose type
+    differs from the last observed under that path, and the last before and the first after each rename of it, are
+    followed in order; long runs of one type are thinned to their ends before.
     """
     seen = fields.where("kind is not null").join(order.select("file_id", "feed", "seq"), "file_id").select("feed", "file_id", "seq", "path", "kind")
     renames = scripts.where("change_kind = 'renamed'").select("feed", "file_id", "seq", "old_field", "new_field")
@@ -295,63 +303,138 @@ def retypings(scripts: DataFrame, order: DataFrame, fields: DataFrame) -> DataFr
         .withColumn("epoch", F.coalesce(F.size(F.filter("at", lambda x: x <= F.col("seq"))), F.lit(0)))
         .withColumn("was", F.lag("kind").over(by)).withColumn("was_epoch", F.lag("epoch").over(by))
     )
-    thin = marked.where("was is null or was <> kind or epoch <> was_epoch").select("feed", "file_id", "seq", F.lit(1).alias("step"), "path", "kind", F.lit("").alias("old_field"))
+    plain = marked.where("at is null and was <> kind").select("file_id", F.lit("retyped").alias("change_kind"), F.col("path").alias("old_field"), F.col("path").alias("new_field"))
+    thin = marked.where("at is not null and (was is null or was <> kind or epoch <> was_epoch)").select("feed", "file_id", "seq", F.lit(1).alias("step"), "path", "kind", F.lit("").alias("old_field"))
     events = thin.unionByName(renames.select("feed", "file_id", "seq", F.lit(0).alias("step"), F.col("new_field").alias("path"), F.lit(None).cast("string").alias("kind"), "old_field"))
-    return spread(events, "feed").groupBy("feed").applyInPandas(_follow, "file_id long, change_kind string, old_field string, new_field string")
+    return plain.unionByName(spread(events, "feed").groupBy("feed").applyInPandas(_follow, "file_id long, change_kind string, old_field string, new_field string"))
+
+
+def _prepared(records: DataFrame, files: DataFrame, cut) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(order of the files, fields of each file, scripts)"""
+    shapes = cut(record_shapes(records))
+    order = file_order(files.where("feed is not null and file_id is not null"))
+    fields = file_fields(shapes)
+    return order, fields, cut(edit_scripts(shapes, order, fields))
+
+
+def schema_scripts(records: DataFrame, files: DataFrame, cut=lambda df: df) -> DataFrame:
+    """Every step of the cheapest script of each file, moves and renamed objects included, with its distance from the file before."""
+    return _prepared(records, files, cut)[2]
 
 
 def schema_changes(records: DataFrame, files: DataFrame, cut=lambda df: df) -> DataFrame:
-    """added, removed, renamed and retyped fields of each file against the one before in its feed.
+    """added, removed, renamed and retyped fields of each file against the one before in its feed; a moved field is one removed and one added.
 
-    cut: cuts lineage after the leaves and after the scripts, so that JSON is parsed once; the identity leaves the plan whole.
+    cut: cuts lineage after the shapes and after the scripts, so that JSON is parsed once; the identity leaves the plan whole.
     Records of files that are not listed, and files without a feed, take no part. Empty tables give no rows.
     """
-    leaves = cut(record_leaves(records))
-    order = file_order(files.where("feed is not null and file_id is not null"))
-    fields = file_fields(leaves)
-    scripts = cut(edit_scripts(leaves, order, fields))
-    return scripts.select("file_id", "change_kind", "old_field", "new_field").unionByName(retypings(scripts, order, fields))
+    order, fields, scripts = _prepared(records, files, cut)
+    row = lambda kind, old, new: F.struct(F.lit(kind).alias("change_kind"), F.col(old).alias("old_field") if old else F.lit("").alias("old_field"), F.col(new).alias("new_field") if new else F.lit("").alias("new_field"))
+    own = F.struct("change_kind", "old_field", "new_field")
+    steps = scripts.where("change_kind <> 'renamed_node'").select("file_id", F.explode(F.when(F.col("change_kind") == "moved", F.array(row("removed", "old_field", None), row("added", None, "new_field"))).otherwise(F.array(own))).alias("c"))
+    return steps.select("file_id", "c.*").unionByName(retypings(scripts, order, fields))
 
 
-def _compile(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Projection of each file of one feed: every current path with the first name its field had in the feed."""
-    name: dict[str, str] = {}
-    out = []
-    rows = sorted(zip(pdf.seq.tolist(), pdf.file_id.tolist(), pdf.path.tolist(), pdf.old_field.tolist()))
-    for (_, file_id), same in groupby(rows, key=lambda r: r[:2]):
-        name.update({path: name.pop(old, old) for _, _, path, old in list(same)})
-        out.append((file_id, [{"path": n, "canonical": c} for n, c in sorted(name.items()) if n != c]))
-    return pd.DataFrame(out, columns=["file_id", "renames"])
+# Spark types of the kinds a field may have over all files.
+SQL_TYPES = {"boolean": "boolean", "integer": "bigint", "decimal": "double", "string": "string", "array": "array<string>"}
 
 
-def unified_records(records: DataFrame, files: DataFrame, cut=lambda df: df) -> DataFrame:
-    """One table of all records: each record's leaves under the first names their fields had in the feed.
+def _typed(value: object, kind: str) -> object:
+    """A value in the one type of its field; what does not fit is its JSON text in a string, and null elsewhere cannot occur."""
+    if value is None:
+        return None
+    own = kind_of(value)
+    if kind == "array":
+        return [x if isinstance(x, str) else json.dumps(x, ensure_ascii=False) for x in (value if own == "array" else [value])]
+    if kind == "string":
+        return value if own == "string" else json.dumps(value, ensure_ascii=False)
+    return float(value) if kind == "decimal" else value
+
+
+def unified_type(kinds: list[str]) -> str:
+    """One type for a field: its only one; decimal for integers and decimals; array if any value is one; else string."""
+    some = set(kinds)
+    return some.pop() if len(some) == 1 else "array" if "array" in some else "decimal" if some == {"integer", "decimal"} else "string"
+
+
+def one_name(renames: list[tuple[str, str, int]]) -> dict[str, str]:
+    """Canonical name of each renamed path: paths tied by renames of any feed are one field, called what most files call it first.
 
-    Columns record_id, file_id, feed and `fields`, a map of canonical dotted path to JSON text (a null value is JSON null).
-    The text of Substantive's finding is also given as `practical_text` and `legal_text`, whatever its field is called.
-    Lines that are no JSON object are left out. Projections change only at renames: a file takes that of the last rename
-    at or before it, so one projection serves all files up to the next.
+    renames: (old path, new path, files) of all feeds; as many as there are pairs of names.
     """
-    leaves = cut(record_leaves(records))
-    order = file_order(files.where("feed is not null and file_id is not null"))
-    scripts = cut(edit_scripts(leaves, order, file_fields(leaves)))
-    events = scripts.where("change_kind = 'renamed'").select("feed", "file_id", "seq", F.lit(0).alias("step"), F.col("new_field").alias("path"), "old_field")
-    compiled = spread(events, "feed").groupBy("feed").applyInPandas(_compile, "file_id long, renames array<struct<path:string,canonical:string>>")
-    by = Window.partitionBy("feed").orderBy("seq")
-    plans = order.join(compiled, "file_id", "left").select("file_id", "feed", F.last("renames", ignorenulls=True).over(by).alias("renames"))
-    rows = leaves.groupBy("record_id", "file_id").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("path", F.coalesce("value", F.lit("null")).alias("value"))))).alias("raw"))
-    named = rows.join(plans, "file_id").withColumn("by", F.map_from_entries(F.coalesce("renames", F.array().cast("array<struct<path:string,canonical:string>>"))))
-    # a canonical name that is in use again under its own path keeps that path for the newer field
-    fields = F.map_from_entries(
-        F.transform(
-            F.map_entries("raw"),
-            lambda e: F.struct(
-                F.when(F.map_contains_key("raw", F.coalesce(F.col("by")[e["key"]], F.lit(""))), e["key"]).otherwise(F.coalesce(F.col("by")[e["key"]], e["key"])).alias("key"),
-                e["value"].alias("value"),
-            ),
-        )
-    )
-    text = lambda parent: F.get_json_object(
-        F.concat(F.lit('{"v":'), F.try_element_at(F.map_values(F.map_filter("raw", lambda k, v: k.startswith(f"{parent}.") & v.startswith('"'))), F.lit(1)), F.lit("}")), "$.v"
-    )
-    return named.select("record_id", "file_id", "feed", fields.alias("fields"), text("practically_substantive").alias("practical_text"), text("legally_substantive").alias("legal_text"))
+    parent: dict[str, str] = {}
+    weight: Counter = Counter()
+
+    def top(p: str) -> str:
+        while parent.setdefault(p, p) != p:
+            p = parent[p]
+        return p
+
+    for old, new, n in renames:
+        weight[old] += n
+        parent[top(old)] = top(new)
+    groups: dict[str, list[str]] = defaultdict(list)
+    for p in parent:
+        groups[top(p)].append(p)
+    return {p: min(ps, key=lambda x: (-weight[x], x)) for ps in groups.values() for p in ps}
+
+
+def unified_records(records: DataFrame, files: DataFrame, cut=lambda df: df, most_columns: int = MOST_COLUMNS) -> DataFrame:
+    """One typed table of all records of all feeds: record_id, file_id, feed, one column per field (dots as __, prefix f__), and `other`.
+
+    A field goes by one name in all feeds: names tied by a rename in any feed are one, and Substantive's finding is so found under
+    whatever name. A column has one type over all files (see unified_type). If a record has two fields of one canonical name, the
+    one whose own path it is takes the column and the other goes to `other`, a map from path to JSON text, as do
+    fields beyond the `most_columns` of most files. Lines that are no JSON object are left out. The driver gets the distinct field
+    names and renamed pairs of names, not records.
+    """
+    order, fields, scripts = _prepared(records, files, cut)
+    renamed = scripts.where("change_kind = 'renamed'").groupBy("old_field", "new_field").agg(F.count("*").alias("n")).orderBy("old_field", "new_field").collect()
+    name = one_name([tuple(r) for r in renamed])
+    kinds: dict[str, set] = defaultdict(set)
+    held: Counter = Counter()
+    for r in fields.groupBy("path").agg(F.collect_set("kind").alias("kinds"), F.count("*").alias("n")).collect():
+        kinds[name.get(r.path, r.path)] |= set(r.kinds)
+        held[name.get(r.path, r.path)] += r.n
+    wide = sorted(sorted(held, key=lambda f: (-held[f], f))[:most_columns])
+    types = {f: unified_type(sorted(kinds[f])) if kinds[f] else "string" for f in wide}
+    label = dict(zip(wide, _labels(wide)))
+    fixed = [("record_id", pa.int64()), ("file_id", pa.int64()), ("feed", pa.string())]
+    arrow = {"boolean": pa.bool_(), "integer": pa.int64(), "decimal": pa.float64(), "string": pa.string(), "array": pa.list_(pa.string())}
+
+    def run(batches):
+        for batch in batches:
+            cols: dict[str, list] = {k: [] for k in (*(c for c, _ in fixed), *wide, "")}
+            for record_id, file_id, feed, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (obj := parsed(text)) is None:
+                    continue
+                leaves = dict(leaves_of(obj))
+                row, other = {}, {}
+                for path in sorted(leaves, key=lambda p: (name.get(p, p) != p, p)):
+                    field = name.get(path, path)
+                    if field in types and field not in row:
+                        row[field] = _typed(leaves[path], types[field])
+                    else:
+                        other[path] = json.dumps(leaves[path], ensure_ascii=False)
+                for c, v in zip((c for c, _ in fixed), (record_id, file_id, feed)):
+                    cols[c].append(v)
+                for f in wide:
+                    cols[f].append(row.get(f))
+                cols[""].append(list(other.items()))
+            arrays = [pa.array(cols[c], t) for c, t in fixed] + [pa.array(cols[f], arrow[types[f]]) for f in wide] + [pa.array(cols[""], pa.map_(pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*(c for c, _ in fixed), *(label[f] for f in wide), "other"])
+
+    schema = ", ".join(["record_id long", "file_id long", "feed string", *(f"`{label[f]}` {SQL_TYPES[types[f]]}" for f in wide), "other map<string,string>"])
+    rows = records.select("record_id", "file_id", "raw_json").join(order.select("file_id", "feed"), "file_id", "left").select("record_id", "file_id", "feed", "raw_json")
+    return rows.mapInArrow(run, schema)
+
+
+def _labels(fields: list[str]) -> list[str]:
+    """Column names of fields, distinct whatever the case of letters."""
+    out: list[str] = []
+    taken: Counter = Counter()
+    for f in fields:
+        plain = "f__" + re.sub(r"[^\w]", "_", f.replace(".", "__"))
+        taken[plain.lower()] += 1
+        out.append(plain if taken[plain.lower()] == 1 else f"{plain}__{taken[plain.lower()]}")
+    return out

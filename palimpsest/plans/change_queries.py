@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.operators.schema_drift import schema_changes, unified_records
+from palimpsest.operators.schema_drift import schema_changes, schema_scripts, unified_records
 from palimpsest.operators.snapshots import snapshot_changes
 from palimpsest.session import cut, table
 
@@ -17,11 +17,16 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_changes(table(spark, sf_dir, "summary_records"), table(spark, sf_dir, "summary_files"), cut)
 
 
+def p6_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest edit script of every file, with moves and renamed objects."""
+    return schema_scripts(table(spark, sf_dir, "summary_records"), table(spark, sf_dir, "summary_files"), cut)
+
+
 def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified_records(table(spark, sf_dir, "summary_records"), table(spark, sf_dir, "summary_files"), cut)
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_unified": p6_unified}
+QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_scripts": p6_scripts, "p6_unified": p6_unified}
 
 ORACLES = {
     "p5_found": """
