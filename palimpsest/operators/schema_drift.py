@@ -231,7 +231,7 @@ def _scripts(batches):
         yield pd.DataFrame(rows, columns=["feed", "file_id", "seq", "distance", "change_kind", "old_field", "new_field"])
 
 
-def edit_scripts(shapes: DataFrame, order: DataFrame, fields: DataFrame) -> DataFrame:
+def edit_scripts(shapes: DataFrame, order: DataFrame, fields: DataFrame, cut=lambda df: df) -> DataFrame:
     """One row per step of the cheapest script between each file and the one before in its feed.
 
     A vanished and an appeared leaf agree when their values (and types) are equal on every summary that both files hold; the
@@ -245,8 +245,9 @@ def edit_scripts(shapes: DataFrame, order: DataFrame, fields: DataFrame) -> Data
     after = pairs.select("file_id").join(now, "file_id")
     sides = before.withColumn("side", F.lit(1)).unionByName(after.withColumn("side", F.lit(2))).groupBy("file_id", "path").agg(F.sum("side").alias("side"))
     of = lambda *which: F.collect_list(F.when(F.col("side").isin(*which), F.col("path")))
-    trees = sides.groupBy("file_id").agg(of(1, 3).alias("before"), of(2, 3).alias("after"), of(1).alias("gone"), of(2).alias("come")).where((F.size("gone") > 0) | (F.size("come") > 0))
-    asked = trees.where((F.size("gone") > 0) & (F.size("come") > 0)).join(pairs, "file_id").select("file_id", "prev_id", "gone", "come")
+    trees = sides.join(pairs, "file_id").groupBy("feed", "file_id", "seq", "prev_id").agg(of(1, 3).alias("before"), of(2, 3).alias("after"), of(1).alias("gone"), of(2).alias("come")).where((F.size("gone") > 0) | (F.size("come") > 0))
+    trees = cut(trees)  # one row a pair of files whose paths differ
+    asked = trees.where((F.size("gone") > 0) & (F.size("come") > 0)).select("file_id", "prev_id", "gone", "come")
     last = lambda rows: rows.groupBy("file_id", "summary_key").agg(F.max_by(F.struct("paths", "marks"), "line_no").alias("r"))
     keyed = shapes.where("summary_key is not null")
     # only records of files whose paths differ, and of the files before them, are brought together
@@ -262,7 +263,7 @@ def edit_scripts(shapes: DataFrame, order: DataFrame, fields: DataFrame) -> Data
         .join(signed.where("side = 2").select("file_id", "s1", "s2", F.col("path").alias("new")), ["file_id", "s1", "s2"])
         .groupBy("file_id").agg(F.collect_list(F.struct("old", "new", "n")).alias("agreement"))
     )
-    rows = pairs.join(trees.drop("gone", "come"), "file_id").join(agreement, "file_id", "left").select("feed", "file_id", "seq", "before", "after", "agreement")
+    rows = trees.join(agreement, "file_id", "left").select("feed", "file_id", "seq", "before", "after", "agreement")
     return spread(rows, "file_id").mapInPandas(_scripts, "feed string, file_id long, seq int, distance double, change_kind string, old_field string, new_field string")
 
 
@@ -312,9 +313,9 @@ def retypings(scripts: DataFrame, order: DataFrame, fields: DataFrame) -> DataFr
 def _prepared(records: DataFrame, files: DataFrame, cut) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(order of the files, fields of each file, scripts)"""
     shapes = cut(record_shapes(records))
-    order = file_order(files.where("feed is not null and file_id is not null"))
-    fields = file_fields(shapes)
-    return order, fields, cut(edit_scripts(shapes, order, fields))
+    order = cut(file_order(files.where("feed is not null and file_id is not null")))
+    fields = cut(file_fields(shapes))
+    return order, fields, cut(edit_scripts(shapes, order, fields, cut))
 
 
 def schema_scripts(records: DataFrame, files: DataFrame, cut=lambda df: df) -> DataFrame:
