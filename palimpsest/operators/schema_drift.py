@@ -71,7 +71,10 @@ def parsed(text: str | None) -> dict | None:
 
 def mark_of(value: object) -> int:
     """64 bits that tell values (and types) apart; 0 for null."""
-    return 0 if value is None else int.from_bytes(blake2b(f"{kind_of(value)} {json.dumps(value, sort_keys=True)}".encode(), digest_size=8).digest(), "little", signed=True) or 1
+    if value is None:
+        return 0
+    text = "s" + value if isinstance(value, str) else json.dumps(value, sort_keys=True) if isinstance(value, list) else repr(value)
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) or 1
 
 
 def _shapes(batches):
