@@ -40,13 +40,49 @@ def extract_udf(answer: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([extract(a) for a in answer], columns=["success", "data", "raw_match", "error"])
 
 
+# Markup that text may keep: tags, their attributes, and schemes of addresses.
+KEPT_TAGS = frozenset("a abbr acronym b blockquote code em i li ol strong ul".split())
+KEPT_ATTRIBUTES = {"a": ("href", "title"), "abbr": ("title",), "acronym": ("title",)}
+_SCHEME = re.compile(r"(?:(?:https?|mailto):|(?![^/?#]*:))", re.I)
+_MARKUP = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)((?:\s+[^<>]*)?)/?>")
+_ATTRIBUTE = re.compile(r"""([\w-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_BARE = re.compile(r"&(?!#?\w+;)")
+
+
+def _plain(text: str) -> str:
+    return _BARE.sub("&amp;", text).replace("<", "&lt;").replace(">", "&gt;")
+
+
+def clean_markup(text: str) -> str:
+    """A text with harmless markup kept and closed, and all other markup escaped; entities stay as they are."""
+    if not ("<" in text or ">" in text or "&" in text):
+        return text
+    out, last, open_tags = [], 0, []
+    for m in _MARKUP.finditer(text):
+        tag = m.group(2).lower()
+        out.append(_plain(text[last : m.start()]))
+        last = m.end()
+        if tag not in KEPT_TAGS:
+            out.append(_plain(m.group()))
+        elif not m.group(1):
+            kept = [(k.lower(), next(v for v in vs if v or v == vs[-1])) for k, *vs in _ATTRIBUTE.findall(m.group(3))]
+            out.append(f"<{tag}{''.join(f' {k}="{escape(v)}"' for k, v in kept if k in KEPT_ATTRIBUTES.get(tag, ()) and (k != 'href' or _SCHEME.match(v.strip())))}>")
+            open_tags.append(tag)
+        elif tag in open_tags:  # an end tag closes what is open inside; one without a start says nothing
+            while (top := open_tags.pop()) != tag:
+                out.append(f"</{top}>")
+            out.append(f"</{tag}>")
+    out.append(_plain(text[last:]))
+    return "".join(out) + "".join(f"</{t}>" for t in reversed(open_tags))
+
+
 def sanitised(value: object) -> object:
-    """Strings at every depth with markup escaped; all else as it is."""
+    """Strings at every depth with markup cleaned; all else as it is."""
     if isinstance(value, dict):
         return {k: sanitised(v) for k, v in value.items()}
     if isinstance(value, list):
         return [sanitised(v) for v in value]
-    return escape(value, quote=False) if isinstance(value, str) else value
+    return clean_markup(value) if isinstance(value, str) else value
 
 
 @arrow_udf("string")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.functions.answers import extract_udf, sanitise_udf, valid_for
 from palimpsest.functions.columns import capture_time, valid_capture
 
 PAGE_CHARS, PROMPT_CHARS, WINDOW_CHARS = 40_000, 50_000, 200_000
@@ -93,20 +94,39 @@ def collect_answers(answers: DataFrame, *doc: str) -> DataFrame:
     return got.select(*doc, F.concat(F.lit('{"chunks": ['), F.array_join(F.transform("a", lambda x: x["j"]), ", "), F.lit("]}")).alias("summary"))
 
 
-def score(prompts: DataFrame, scorer: Callable[[str, str], str]) -> DataFrame:
-    """Answers of an injected scorer to (system, current content); the scorer runs in Arrow batches, never in the plan by itself."""
+def constant(system: str, content: str) -> str:
+    """The model that always says the same."""
+    return "Hello world"
+
+
+def call_unsafe(prompts: DataFrame, scorer: Callable[[str, str], str]) -> DataFrame:
+    """Answers of an injected model as they come, null for a prompt whose parts are not both there (which is not sent).
+
+    The model runs in Arrow batches, never in the plan by itself.
+    """
     @F.pandas_udf("string")
     def run(system: pd.Series, content: pd.Series) -> pd.Series:
-        def one(s, c):
-            if not s or not c:
-                raise ValueError("system prompt and content must not be empty")
-            return scorer(s, c)
-
-        return pd.Series([one(s, c) for s, c in zip(system, content)])
+        return pd.Series([scorer(s, c) if s and c else None for s, c in zip(system, content)], dtype=object)
 
     return prompts.withColumn("answer", run("prompt.system", "prompt.current.content"))
 
 
+def score(prompts: DataFrame, scorer: Callable[[str, str], str]) -> DataFrame:
+    """Answers of an injected model; a prompt without system text or content is an error."""
+    whole = (F.coalesce(F.length("prompt.system"), F.lit(0)) > 0) & (F.coalesce(F.length("prompt.current.content"), F.lit(0)) > 0)
+    checked = F.when(whole, F.col("prompt")).otherwise(F.raise_error(F.lit("system prompt and content must not be empty")).cast(prompts.schema["prompt"].dataType))
+    return call_unsafe(prompts.withColumn("prompt", checked), scorer)
+
+
+def call_and_validate(prompts: DataFrame, scorer: Callable[[str, str], str], version: str) -> DataFrame:
+    """Answers of an injected model with `clean`, the JSON text of a valid answer with markup escaped, and `error` as a value otherwise."""
+    x = call_unsafe(prompts, scorer).withColumn("x", extract_udf("answer"))
+    listed = F.coalesce(F.col("x.data").startswith("["), F.lit(False))
+    valid = F.col("x.success") & ~listed & valid_for(F.lit(version), F.col("x.data"))
+    error = F.when(~F.col("x.success"), F.concat(F.lit("no JSON in the answer: "), F.col("x.error"))).when(listed, "a list, not an object").when(~valid, f"not of schema {version}")
+    return x.withColumns({"clean": F.when(valid, sanitise_udf("x.data")), "error": error}).drop("x")
+
+
 def latest_runs(runs: DataFrame, *doc: str, order: str = "run_ts", tie: str = "run_id") -> DataFrame:
     """The latest run of each document: a view over the appended runs instead of a second file."""
     rest = [c for c in runs.columns if c not in doc]

@@ -69,12 +69,20 @@ def _prompts(spark, d):
     return pages.withColumn("prompt", prompts.prompt(F.lit("Say whether the change matters."), prompts.history(F.array(F.lit("first query"), F.lit("second query"))), F.col("content")))
 
 
-@query("E5_history")
+P6000 = f"""SELECT *, dense_rank() OVER (PARTITION BY company, policy, version_ts ORDER BY page) AS page_no FROM (
+  SELECT *, sum({SIZE}) OVER (PARTITION BY company, policy, version_ts ORDER BY section_idx, section_id ROWS UNBOUNDED PRECEDING) // 6000 AS page FROM diff_sections)"""
+# the sections of a page as JSON; null sides are left out
+_SECTION = """'{"index":' || section_idx || ',"section_id":' || section_id || coalesce(',"before":' || to_json("before")::VARCHAR, '') || coalesce(',"after":' || to_json("after")::VARCHAR, '') || '}'"""
+CONTENT = f"""SELECT company, policy, version_ts, page_no::INT AS page_no, count(*) AS n_sections, '{{"diffs":[' || string_agg({_SECTION}, ',' ORDER BY section_idx, section_id) || ']}}' AS content FROM ({P6000}) GROUP BY ALL"""
+
+
+@query("E5_history", f"""SELECT company, policy, version_ts, page_no, n, CASE WHEN n % 2 = 0 THEN 'user' ELSE 'assistant' END AS role, CASE n WHEN 0 THEN 'first query' WHEN 2 THEN 'second query' ELSE '{prompts.EXAMPLE_ANSWER}' END AS content
+FROM (SELECT DISTINCT company, policy, version_ts, page_no::INT AS page_no FROM ({P6000})) CROSS JOIN (SELECT unnest([0, 1, 2, 3])::INT AS n)""")
 def e5(spark, d):
     return _prompts(spark, d).select(*DOC, "page_no", F.posexplode("prompt.history").alias("n", "m")).select(*DOC, "page_no", "n", "m.role", "m.content")
 
 
-@query("E6_prompts")
+@query("E6_prompts", f"SELECT company, policy, version_ts, page_no, n_sections, length(content)::INT AS n_chars FROM ({CONTENT})")
 def e6(spark, d):
     return _prompts(spark, d).select(*DOC, "page_no", "n_sections", F.length("prompt.current.content").alias("n_chars"))
 
@@ -92,17 +100,18 @@ def _answers(spark, d):
     return rows.withColumn("x", A.extract_udf("raw_json")).select(*DOC, F.col("record_id").alias("page_no"), F.col("x.success").alias("success"), F.col("x.data").alias("data"), F.col("x.error").alias("error"), F.col("raw_json").alias("raw"))
 
 
-@query("E8_collected_answers")
+@query("E8_collected_answers", "SELECT company, policy, version_ts, count(*)::INT AS n_chunks FROM summary_records WHERE version_ts IS NOT NULL GROUP BY ALL")
 def e8(spark, d):
     got = prompts.collect_answers(_answers(spark, d), *DOC)
-    return got.select(*DOC, F.size(F.from_json("summary", "struct<chunks:array<map<string,string>>>")["chunks"]).alias("n_chunks"))
+    return got.select(*DOC, F.size(F.from_json("summary", "struct<chunks:array<string>>")["chunks"]).alias("n_chunks"))
 
 
-@query("E9_scored_prompts")
+@query("E9_scored_prompts", f"""SELECT company, policy, version_ts, page_no, '{{"practically_substantive": {{"rating": ' || contains(content, 'after') || ', "reason": "length ' || length(content) || '"}}}}' AS answer,
+  'run-' || substr(md5(concat_ws('/', company, policy, version_ts, page_no)), 1, 16) AS run_id, 'p1' AS prompt_version, 'v2' AS schema_version FROM ({CONTENT})""")
 def e9(spark, d):
     """Prompts answered by an injected scorer, with the run's identifiers."""
     got = prompts.score(_prompts(spark, d), lambda system, content: f'{{"practically_substantive": {{"rating": {str("after" in content).lower()}, "reason": "length {len(content)}"}}}}')
-    return got.select(*DOC, "page_no", "answer", F.concat(F.lit("run-"), F.lpad(F.hex(F.xxhash64(*DOC, "page_no")), 16, "0")).alias("run_id"), F.lit("p1").alias("prompt_version"), F.lit("v2").alias("schema_version"))
+    return got.select(*DOC, "page_no", "answer", F.concat(F.lit("run-"), F.substring(F.md5(F.concat_ws("/", *DOC, "page_no")), 1, 16)).alias("run_id"), F.lit("p1").alias("prompt_version"), F.lit("v2").alias("schema_version"))
 
 
 @query("E10_latest_runs", "SELECT summary_key, arg_max(record_id, file_id * 1000000 + line_no) AS record_id FROM summary_records GROUP BY summary_key")
@@ -116,10 +125,19 @@ def _records(spark, d):
     return table(spark, d, "summary_records").join(files, "file_id")
 
 
-@query("F1_extract_json")
+# every candidate in order: the whole answer, then each object, then each array; the first that parses is the answer
+_CANDIDATES = f"list_concat([w], list_concat(regexp_extract_all(w, '{A.OBJECT}'), regexp_extract_all(w, '{A.ARRAY}')))"
+_EXTRACTED = f"""SELECT record_id, len(ok) > 0 AS success, CASE WHEN len(ok) > 0 THEN json(ok[1])::VARCHAR END AS data, len(ok) > 0 AND NOT refused AS clean FROM (
+  SELECT record_id, list_filter(list_transform({_CANDIDATES}, lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: json_valid(x)) AS ok,
+    NOT coalesce(json_valid(trim(regexp_replace(regexp_extract_all(w, '{A.OBJECT}')[1], '\\s+', ' ', 'g'))), TRUE) AS refused
+  FROM (SELECT record_id, $w AS w FROM summary_records))"""
+EXTRACTED = _EXTRACTED.replace("$w", "'Here is the result:' || chr(10) || raw_json || chr(10) || 'Best regards'")
+
+
+@query("F1_extract_json", EXTRACTED)
 def f1(spark, d):
     rows = table(spark, d, "summary_records", "record_id", "raw_json").withColumn("wrapped", F.concat(F.lit("Here is the result:\n"), "raw_json", F.lit("\nBest regards")))
-    return rows.withColumn("x", A.extract_udf("wrapped")).select("record_id", "x.success", "x.data", "x.error")
+    return rows.withColumn("x", A.extract_udf("wrapped")).select("record_id", "x.success", F.get_json_object("x.data", "$").alias("data"), (F.col("x.success") & (F.col("x.error") == "")).alias("clean"))
 
 
 V2_OK = "json_valid(raw_json) AND json_type(raw_json, '$.practically_substantive.rating') = 'BOOLEAN' AND json_type(raw_json, '$.practically_substantive.reason') NOT IN ('NULL')"
@@ -131,13 +149,26 @@ def f2(spark, d):
     return table(spark, d, "summary_records").select("record_id", F.when(whole, A.valid_for(F.lit("v2"), F.col("raw_json"))).otherwise(F.lit(False)).alias("valid"))
 
 
-@query("F3_sanitised")
+@query("F3_sanitised", f"""SELECT record_id, replace(replace(regexp_replace(data, '&([^#\\w]|$)', '&amp;\\1', 'g'), '<', '&lt;'), '>', '&gt;') AS clean FROM ({_EXTRACTED.replace('$w', 'raw_json')}) WHERE success""")
 def f3(spark, d):
     rows = table(spark, d, "summary_records", "record_id", "raw_json").withColumn("x", A.extract_udf("raw_json")).where("x.success")
-    return rows.select("record_id", A.sanitise_udf("x.data").alias("clean"))
+    return rows.select("record_id", F.get_json_object(A.sanitise_udf("x.data"), "$").alias("clean"))
+
+
+def _is(path: str, kind: str) -> str:
+    return f"coalesce(json_type(j, '$.{path}') = '{kind}', FALSE)"
 
 
-@query("F5_valid_by_version")
+def _some(path: str) -> str:
+    return f"coalesce(json_type(j, '$.{path}') <> 'NULL', FALSE)"
+
+
+_V1 = " AND ".join([f"{_is(f'{p}.rating', 'BOOLEAN')} AND {_some(f'{p}.explanation')}" for p in ("legally_substantive", "practically_substantive")] + [_is(f"{k}_keywords", "ARRAY") for k in ("change", "subject", "helm")])
+_V2 = f"{_is('practically_substantive.rating', 'BOOLEAN')} AND {_some('practically_substantive.reason')}"
+JSON_ROWS = "SELECT record_id, schema_version, CASE WHEN json_valid(raw_json) THEN raw_json::JSON END AS j FROM summary_records JOIN summary_files USING (file_id)"
+
+
+@query("F5_valid_by_version", f"""SELECT record_id, schema_version, coalesce(CASE schema_version WHEN 'v0' THEN j IS NOT NULL WHEN 'v1' THEN {_V1} WHEN 'v2' THEN {_V2} WHEN 'v3' THEN {_is('chunks', 'ARRAY')} END, FALSE) AS valid FROM ({JSON_ROWS})""")
 def f5(spark, d):
     return _records(spark, d).select("record_id", "schema_version", A.valid_for(F.col("schema_version"), F.col("raw_json")).alias("valid"))
 
@@ -158,14 +189,44 @@ def f6(spark, d):
     return rows.select("record_id", two["rating"].alias("rating"), two["reason"].alias("reason"))
 
 
-@query("F7_migrate_v2")
+def _first_chunk(v3):
+    finding = F.get(v3["chunks"], F.lit(0))["practically_substantive"]
+    return F.size(v3["chunks"]).alias("n_chunks"), finding["rating"].alias("rating"), finding["reason"].alias("reason")
+
+
+def _finding(old: str) -> str:
+    return f"""CASE WHEN json_type(j, '$.practically_substantive.rating') = 'BOOLEAN' THEN (j->>'$.practically_substantive.rating') = 'true' END AS rating, CASE WHEN {_some(f'practically_substantive.{old}')} THEN j->>'$.practically_substantive.{old}' END AS reason"""
+
+
+@query("F7_migrate_v2", f"SELECT record_id, 1 AS n_chunks, {_finding('reason')} FROM ({JSON_ROWS})")
 def f7(spark, d):
-    return table(spark, d, "summary_records").select("record_id", F.to_json(A.v2_to_v3(F.from_json("raw_json", A.REGISTRY["v2"]))).alias("v3"))
+    return _records(spark, d).withColumn("v3", A.v2_to_v3(F.from_json("raw_json", A.REGISTRY["v2"]))).select("record_id", *_first_chunk(F.col("v3")))
 
 
-@query("F8_migrate_all")
+@query("F8_migrate_all", f"""SELECT record_id, schema_version, 1 AS n_chunks, {_finding('explanation')} FROM ({JSON_ROWS}) WHERE schema_version = 'v1'
+UNION ALL SELECT record_id, schema_version, 1, {_finding('reason')} FROM ({JSON_ROWS}) WHERE schema_version = 'v2'
+UNION ALL SELECT record_id, schema_version, CASE WHEN json_type(j, '$.chunks') = 'ARRAY' THEN json_array_length(j, '$.chunks')::INT END, CASE WHEN json_type(j, '$.chunks[0].practically_substantive.rating') = 'BOOLEAN' THEN (j->>'$.chunks[0].practically_substantive.rating') = 'true' END,
+  j->>'$.chunks[0].practically_substantive.reason' FROM ({JSON_ROWS}) WHERE schema_version IS NULL OR schema_version NOT IN ('v1', 'v2')""")
 def f8(spark, d):
-    return _records(spark, d).select("record_id", "schema_version", F.to_json(A.to_v3(F.col("schema_version"), F.col("raw_json"))).alias("v3"))
+    """Chunks of every answer as v3, whatever version it was given in."""
+    rows = _records(spark, d).withColumn("v3", A.to_v3(F.col("schema_version"), F.col("raw_json")))
+    return rows.select("record_id", "schema_version", *_first_chunk(F.col("v3")))
+
+
+@query("F4_call_and_validate", f"SELECT doc_id, coalesce(length(text) > 0, FALSE) AS called, coalesce(length(text) > 0 AND length(text) % 3 = 0, FALSE) AS valid FROM documents")
+def f4(spark, d):
+    """An injected model called on each text: empty texts are refused before the call, answers of another shape after it."""
+    answer = lambda system, content: '{"practically_substantive": {"rating": true, "reason": "<b>' + str(len(content)) + '</b>"}}' if len(content) % 3 == 0 else "no answer"
+    p = prompts.prompt(F.lit("Say whether the change matters."), F.array().cast("array<struct<role:string,content:string>>"), F.col("text"))
+    rows = prompts.call_and_validate(table(spark, d, "documents", "doc_id", "text").withColumn("prompt", p), answer, "v2")
+    return rows.select("doc_id", F.col("answer").isNotNull().alias("called"), F.col("clean").isNotNull().alias("valid"))
+
+
+@query("A16_constant_model", "SELECT doc_id, CASE WHEN text IS NOT NULL AND text <> '' THEN 'Hello world' END AS answer FROM documents")
+def a16(spark, d):
+    """The model that always says the same."""
+    p = prompts.prompt(F.lit("s"), F.array().cast("array<struct<role:string,content:string>>"), F.col("text"))
+    return prompts.call_unsafe(table(spark, d, "documents", "doc_id", "text").withColumn("prompt", p), prompts.constant).select("doc_id", "answer")
 
 
 @query("F9_chunk_records", "SELECT company, policy, version_ts, chunk_idx, text FROM doc_chunks WHERE version_ts IS NOT NULL")
@@ -250,9 +311,23 @@ def s2(spark, d):
     return control.breaker_replay(stages.operations(table(spark, d, "events"))).select("workflow", "seq", "op", "strikes", "is_open", "error_message")
 
 
-@query("S1_limiter_replay")
+# the limiter call by call: each row of a workflow goes on from the state after the one before
+LIMITER = """WITH RECURSIVE calls AS (SELECT *, epoch_us(ts) AS us, floor(epoch(ts) / {period})::BIGINT AS win, row_number() OVER (PARTITION BY workflow ORDER BY ts, seq) AS k FROM ({ops})),
+run(workflow, k, seq, allowed, prev, cur, remaining, last_win) AS (
+  SELECT workflow, 0::BIGINT, NULL::BIGINT, FALSE, 0::BIGINT, 0::BIGINT, {rpm}::BIGINT, NULL::BIGINT FROM (SELECT DISTINCT workflow FROM calls)
+  UNION ALL
+  SELECT workflow, k, seq, ok, p, c + ok::BIGINT, CASE WHEN ok THEN {rpm} - (c + 1) - p ELSE remaining END, CASE WHEN ok OR last_win IS NULL THEN win ELSE last_win END FROM (
+    SELECT *, ceil(p * ({period} - sec)::DOUBLE / {period} + c) < {rpm} AS ok FROM (
+      SELECT r.workflow, c.k, c.seq, c.win, r.last_win, r.remaining, date_part('second', c.ts) AS sec,
+        CASE WHEN coalesce(r.last_win, c.win) = c.win - 1 THEN r.cur WHEN coalesce(r.last_win, c.win) <> c.win THEN 0 ELSE r.prev END AS p,
+        CASE WHEN coalesce(r.last_win, c.win) <> c.win THEN 0 ELSE r.cur END AS c
+      FROM run r JOIN calls c ON c.workflow = r.workflow AND c.k = r.k + 1)))
+SELECT workflow, seq, allowed, prev::INT AS used_previous, cur::INT AS used_current, remaining::INT AS remaining FROM run WHERE k > 0"""
+
+
+@query("S1_limiter_replay", LIMITER.format(rpm=2, period=3600, ops=OPS))
 def s1(spark, d):
-    return control.limiter_replay(stages.operations(table(spark, d, "events")), rpm=2, period=3600)
+    return control.limiter_replay(stages.operations(table(spark, d, "events")), rpm=2, period=3600).drop("ts")
 
 
 @query("S2_breaker_stream", f"""WITH o AS (SELECT *, sum((op = 'RESET')::INT) OVER (PARTITION BY workflow ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS epoch FROM ({OPS})),
@@ -263,10 +338,10 @@ def s2_stream(spark, d):
     return stages.run_available(stages.breaker_stream(stages.operations(events)), stages.shared_folder(spark)).select("workflow", "seq", "op", "strikes", "is_open")
 
 
-@query("S1_limiter_stream")
+@query("S1_limiter_stream", LIMITER.format(rpm=10, period=60, ops=OPS))
 def s1_stream(spark, d):
     events = stages.arrivals(spark, d, table(spark, d, "events").schema, pattern="events.parquet")
-    return stages.run_available(stages.limiter_stream(stages.operations(events)), stages.shared_folder(spark))
+    return stages.run_available(stages.limiter_stream(stages.operations(events)), stages.shared_folder(spark)).drop("ts")
 
 
 TASKS = "SELECT event_id, user_id, event_type FROM events"

@@ -69,3 +69,12 @@ def test_schemas(spark):
     v1 = '{"legally_substantive": {"rating": true, "explanation": "l"}, "practically_substantive": {"rating": false, "explanation": "e"}, "change_keywords": [], "subject_keywords": [], "helm_keywords": []}'
     r = spark.range(1).select(A.to_v3(F.lit("v1"), F.lit(v1)).alias("x"), A.valid_for(F.lit("v1"), F.lit(v1)).alias("ok")).first()
     assert r.x.chunks[0].practically_substantive.reason == "e" and r.ok
+
+
+def test_markup_of_answers():
+    from palimpsest.functions.answers import clean_markup as clean
+
+    assert clean("a < b & c &amp; d") == "a &lt; b &amp; c &amp; d" and clean("plain") == "plain"
+    assert clean('<b>x</b> <script>y</script> <img src="z">') == '<b>x</b> &lt;script&gt;y&lt;/script&gt; &lt;img src="z"&gt;'
+    assert clean('<a href="https://x.org" onclick="f()">t') == '<a href="https://x.org">t</a>' and clean("<a href='javascript:f()'>t</a>") == "<a>t</a>"
+    assert clean("</b>x <ul><li>y</ul>") == "x <ul><li>y</li></ul>"
