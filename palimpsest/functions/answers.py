@@ -65,7 +65,7 @@ def clean_markup(text: str) -> str:
         if tag not in KEPT_TAGS:
             out.append(_plain(m.group()))
         elif not m.group(1):
-            kept = [(k.lower(), next(v for v in vs if v or v == vs[-1])) for k, *vs in _ATTRIBUTE.findall(m.group(3))]
+            kept = [(k.lower(), "".join(vs)) for k, *vs in _ATTRIBUTE.findall(m.group(3))]
             out.append(f"<{tag}{''.join(f' {k}="{escape(v)}"' for k, v in kept if k in KEPT_ATTRIBUTES.get(tag, ()) and (k != 'href' or _SCHEME.match(v.strip())))}>")
             open_tags.append(tag)
         elif tag in open_tags:  # an end tag closes what is open inside; one without a start says nothing

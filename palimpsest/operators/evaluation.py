@@ -65,6 +65,13 @@ def metrics(both: DataFrame) -> DataFrame:
     return got.select(*GROUP, "tp", "fp", "fn", "tn", _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"), _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"), _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
+def all_scores(both: DataFrame) -> DataFrame:
+    """Rates and metrics of each group in one row."""
+    m = metrics(both).select(*[F.col(c).alias(f"m_{c}") for c in GROUP], "accuracy", "precision", "recall", "f1")
+    r = json_rates(both)
+    return r.join(m, [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in GROUP], "left").select(*r.columns, "accuracy", "precision", "recall", "f1")
+
+
 def report_html(scores: DataFrame, most_rows: int = 1000) -> str:
     """The scores in order as an HTML table, or a message where there are none; beyond `most_rows` it says how many there are."""
     rows = scores.orderBy(*scores.columns).limit(most_rows + 1).toPandas()

@@ -32,18 +32,18 @@ def _sections(spark: SparkSession, d: str) -> DataFrame:
 
 
 SIZE = "coalesce(length(before), 0) + coalesce(length(\"after\"), 0)"
-PAGED = f"""SELECT *, dense_rank() OVER (PARTITION BY company, policy ORDER BY page) AS page_no FROM (
-  SELECT *, (sum({SIZE}) OVER (PARTITION BY company, policy ORDER BY version_ts, section_id ROWS UNBOUNDED PRECEDING) // 4000)::INT AS page FROM diff_sections)"""
+PAGED = f"""SELECT *, dense_rank() OVER (PARTITION BY company ORDER BY page) AS page_no FROM (
+  SELECT *, (sum({SIZE}) OVER (PARTITION BY company ORDER BY version_ts, section_id ROWS UNBOUNDED PRECEDING) // 40000)::INT AS page FROM diff_sections)"""
 
 
 @query("E2_prompt_pages", f"SELECT section_id, page, page_no::INT AS page_no FROM ({PAGED})")
 def e2(spark, d):
-    return prompts.paged(_sections(spark, d), "company", "policy", index="version_ts", tie="section_id", page_chars=4000).select("section_id", "page", "page_no")
+    return prompts.paged(_sections(spark, d), "company", index="version_ts", tie="section_id").select("section_id", "page", "page_no")
 
 
-@query("E2_page_sizes", f"SELECT company, policy, page_no::INT AS page_no, count(*) AS n_sections FROM ({PAGED}) GROUP BY 1, 2, 3")
+@query("E2_page_sizes", f"SELECT company, page_no::INT AS page_no, count(*) AS n_sections FROM ({PAGED}) GROUP BY 1, 2")
 def e2b(spark, d):
-    return prompts.pages(_sections(spark, d), "company", "policy", index="version_ts", tie="section_id", page_chars=4000).select("company", "policy", "page_no", F.col("n_sections"))
+    return prompts.pages(_sections(spark, d), "company", index="version_ts", tie="section_id").select("company", "page_no", F.col("n_sections"))
 
 
 def _labelled(spark, d):
@@ -87,11 +87,25 @@ def e6(spark, d):
     return _prompts(spark, d).select(*DOC, "page_no", "n_sections", F.length("prompt.current.content").alias("n_chars"))
 
 
-@query("E7_prompt_check", """SELECT doc_id, length(text)::INT + 31 AS chars, length(text) + 31 >= 9000 AS over_window,
-  CASE WHEN length(text) + 31 >= 5000 THEN 'Prompt length ' || (length(text) + 31) || ' exceeds rate limit of 5000 / minute.' END AS error FROM documents WHERE text IS NOT NULL""")
+@query("E7_prompt_check", """SELECT doc_id, n AS chars, n >= 200000 AS over_window, CASE WHEN n >= 50000 THEN 'Prompt length ' || n || ' exceeds rate limit of 50000 / minute.' END AS error
+  FROM (SELECT doc_id, (200 * length(text) + 31)::INT AS n FROM documents WHERE text IS NOT NULL)""")
 def e7(spark, d):
-    p = prompts.prompt(F.lit("Say whether the change matters."), F.array().cast("array<struct<role:string,content:string>>"), F.col("text"))
-    return table(spark, d, "documents").where("text is not null").select("doc_id", prompts.prompt_check(p, 5000, 9000).alias("c")).select("doc_id", "c.*")
+    """Every text 200 times over as one prompt."""
+    p = prompts.prompt(F.lit("Say whether the change matters."), F.array().cast("array<struct<role:string,content:string>>"), F.repeat("text", F.lit(200)))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", prompts.prompt_check(p).alias("c")).select("doc_id", "c.*")
+
+
+@query("E4_example_answers", f"SELECT doc, FALSE AS rating, TRUE AS valid FROM (SELECT *, row_number() OVER (ORDER BY chars, doc) AS n, sum(chars) OVER (ORDER BY chars, doc ROWS UNBOUNDED PRECEDING) AS upto FROM ({WRONG})) WHERE n <= 3 AND upto < 50000")
+def e4(spark, d):
+    """The fixed answer beside each worked example, read back by the schema it must fit."""
+    a = F.lit(prompts.EXAMPLE_ANSWER)
+    return e3(spark, d).select("doc", F.from_json(a, A.V2)["practically_substantive"]["rating"].alias("rating"), A.valid_for(F.lit("v2"), a).alias("valid"))
+
+
+@query("I6_running_sums", f"SELECT section_id, sum({SIZE}) OVER (PARTITION BY company ORDER BY version_ts, section_id ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM diff_sections")
+def i6(spark, d):
+    size = F.coalesce(F.length("before"), F.lit(0)) + F.coalesce(F.length("after"), F.lit(0))
+    return _sections(spark, d).select("section_id", F.sum(size).over(Window.partitionBy("company").orderBy("version_ts", "section_id").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
 
 
 def _answers(spark, d):
@@ -266,22 +280,58 @@ def h3(spark, d):
     return evaluation.totals(_both(spark, d))
 
 
-@query("H4_json_and_schema_rates", f"""WITH b AS ({BOTH}), t AS (SELECT model_version, count(DISTINCT (company, policy, version_ts)) AS n FROM b GROUP BY 1)
+RATES = f"""WITH b AS ({BOTH}), t AS (SELECT model_version, count(DISTINCT (company, policy, version_ts)) AS n FROM b GROUP BY 1)
 SELECT model_version, prompt_version_pred, schema_version_pred, count(DISTINCT run_id) AS n_runs, count(*) FILTER (pred IS NOT NULL) AS n_valid,
   round_even(count(DISTINCT run_id)::DOUBLE / max(n), 2) AS json_rate, round_even(count(*) FILTER (pred IS NOT NULL)::DOUBLE / max(n), 2) AS schema_rate
-FROM b JOIN t USING (model_version) GROUP BY 1, 2, 3""")
+FROM b JOIN t USING (model_version) GROUP BY 1, 2, 3"""
+
+
+@query("H4_json_and_schema_rates", RATES)
 def h4(spark, d):
     return evaluation.json_rates(_both(spark, d))
 
 
-@query("H6_metrics", f"""WITH c AS (SELECT model_version, prompt_version_pred, schema_version_pred, count(*) FILTER (truth = 1 AND pred = 1) AS tp, count(*) FILTER (truth = 0 AND pred = 1) AS fp,
+METRICS = f"""WITH c AS (SELECT model_version, prompt_version_pred, schema_version_pred, count(*) FILTER (truth = 1 AND pred = 1) AS tp, count(*) FILTER (truth = 0 AND pred = 1) AS fp,
   count(*) FILTER (truth = 1 AND pred = 0) AS fn, count(*) FILTER (truth = 0 AND pred = 0) AS tn FROM ({BOTH}) WHERE pred IS NOT NULL GROUP BY 1, 2, 3)
 SELECT *, round_even((tp + tn)::DOUBLE / (tp + fp + fn + tn), 2) AS accuracy, CASE WHEN tp + fp > 0 THEN round_even(tp::DOUBLE / (tp + fp), 2) ELSE 0.0::DOUBLE END AS precision,
-  CASE WHEN tp + fn > 0 THEN round_even(tp::DOUBLE / (tp + fn), 2) ELSE 0.0::DOUBLE END AS recall, CASE WHEN 2 * tp + fp + fn > 0 THEN round_even(2 * tp::DOUBLE / (2 * tp + fp + fn), 2) ELSE 0.0::DOUBLE END AS f1 FROM c""")
+  CASE WHEN tp + fn > 0 THEN round_even(tp::DOUBLE / (tp + fn), 2) ELSE 0.0::DOUBLE END AS recall, CASE WHEN 2 * tp + fp + fn > 0 THEN round_even(2 * tp::DOUBLE / (2 * tp + fp + fn), 2) ELSE 0.0::DOUBLE END AS f1 FROM c"""
+
+
+@query("H6_metrics", METRICS)
 def h6(spark, d):
     return evaluation.metrics(_both(spark, d))
 
 
+@query("G2_totals_with_rates", f"SELECT r.model_version, r.prompt_version_pred, r.schema_version_pred, t.n_documents, r.n_runs, r.n_valid FROM ({RATES}) r JOIN (SELECT model_version, count(DISTINCT (company, policy, version_ts)) AS n_documents FROM ({BOTH}) GROUP BY 1) t USING (model_version)")
+def g2(spark, d):
+    both = _both(spark, d)
+    return evaluation.json_rates(both).join(evaluation.totals(both), "model_version").select(*evaluation.GROUP, "n_documents", "n_runs", "n_valid")
+
+
+@query("H5_schema_rate", f"SELECT model_version, prompt_version_pred, schema_version_pred, schema_rate FROM ({RATES})")
+def h5(spark, d):
+    return evaluation.json_rates(_both(spark, d)).select(*evaluation.GROUP, "schema_rate")
+
+
+@query("H12_all_scores", f"SELECT r.*, m.accuracy, m.precision, m.recall, m.f1 FROM ({RATES}) r LEFT JOIN ({METRICS}) m ON r.model_version = m.model_version AND r.prompt_version_pred IS NOT DISTINCT FROM m.prompt_version_pred AND r.schema_version_pred IS NOT DISTINCT FROM m.schema_version_pred")
+def h12(spark, d):
+    """All scores of a group side by side; a group without a rated answer has no metrics."""
+    both = _both(spark, d)
+    return evaluation.all_scores(both)
+
+
+@query("H8_report", f"SELECT count(*) AS n_rows, FALSE AS cut, NULL::VARCHAR AS message FROM ({RATES})")
+def h8(spark, d):
+    """The HTML report of the scores: its rows, and whether it says that some are left out."""
+    html = evaluation.report_html(evaluation.json_rates(_both(spark, d)))
+    return spark.createDataFrame([(html.count("<tr>"), "First " in html, None)], "n_rows long, cut boolean, message string")
+
+
+@query("H7_empty_report", "SELECT 'No labels to evaluate.' AS message")
+def h7(spark, d):
+    return spark.createDataFrame([(evaluation.report_html(evaluation.json_rates(_both(spark, d).limit(0))),)], "message string")
+
+
 @query("H1_true_labels", f"SELECT company, policy, version_ts, model_version, truth FROM ({GOLD})")
 def h1(spark, d):
     return evaluation.true_labels(table(spark, d, "gold_labels")).select(*DOC, "model_version", "truth")
@@ -294,11 +344,11 @@ def i4(spark, d):
     return evaluation.pred_labels(rows).where("pred = 1").groupBy("version_ts").agg(F.count("*").cast("int").alias("n")).orderBy(F.desc("n"), "version_ts").limit(20)
 
 
-@query("I8_page_breaks", f"SELECT company, policy, count(*) FILTER (was IS NULL OR was <> page) AS n_pages FROM (SELECT *, lag(page) OVER (PARTITION BY company, policy ORDER BY version_ts, section_id) AS was FROM ({PAGED})) GROUP BY 1, 2")
+@query("I8_page_breaks", f"SELECT company, count(*) FILTER (was IS NULL OR was <> page) AS n_pages FROM (SELECT *, lag(page) OVER (PARTITION BY company ORDER BY version_ts, section_id) AS was FROM ({PAGED})) GROUP BY 1")
 def i8(spark, d):
-    rows = prompts.paged(_sections(spark, d), "company", "policy", index="version_ts", tie="section_id", page_chars=4000)
-    was = F.lag("page").over(Window.partitionBy("company", "policy").orderBy("version_ts", "section_id"))
-    return rows.withColumn("was", was).groupBy("company", "policy").agg(F.count_if(F.col("was").isNull() | (F.col("was") != F.col("page"))).alias("n_pages"))
+    rows = prompts.paged(_sections(spark, d), "company", index="version_ts", tie="section_id")
+    was = F.lag("page").over(Window.partitionBy("company").orderBy("version_ts", "section_id"))
+    return rows.withColumn("was", was).groupBy("company").agg(F.count_if(F.col("was").isNull() | (F.col("was") != F.col("page"))).alias("n_pages"))
 
 
 OPS = "SELECT 'w' || (user_id % 4) AS workflow, ts, event_id AS seq, CASE event_type WHEN 'error' THEN 'TRIP' WHEN 'signup' THEN 'RESET' ELSE 'GET_STATUS' END AS op, props FROM events"

@@ -324,3 +324,40 @@ def i5(spark, d):
   OR max(CASE WHEN regexp_matches(capture_ts, '^[0-9]{14}$') THEN try_strptime(capture_ts, '%Y%m%d%H%M%S') END) <= TIMESTAMP '2022-12-25 00:00:00'""")
 def s11(spark, d):
     return due_again(_index(spark, d), F.lit("2023-01-01 00:00:00").cast("timestamp")).select("company", "policy")
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    """Every record of the summaries as a blob of its own."""
+    rows = table(spark, d, "summary_records", "record_id", "raw_json").where("raw_json is not null")
+    return rows.select(F.concat(F.lit("documents/07-summary-raw/"), F.col("record_id").cast("string")).alias("name"), F.encode("raw_json", "UTF-8").alias("content"))
+
+
+_FILES = "SELECT 'documents/07-summary-raw/' || record_id AS name, raw_json FROM summary_records WHERE raw_json IS NOT NULL"
+
+
+@query("A2_load_bytes", f"SELECT name, octet_length(encode(raw_json))::INT AS n_bytes, md5(raw_json) AS digest FROM ({_FILES})")
+def a2(spark, d):
+    return _files(spark, d).select("name", F.octet_length("content").alias("n_bytes"), F.md5("content").alias("digest"))
+
+
+@query("A3_load_json", f"SELECT name, json_valid(raw_json) AS valid, CASE WHEN json_valid(raw_json) THEN json_extract_string(raw_json, '$.run_id') END AS run_id FROM ({_FILES})")
+def a3(spark, d):
+    j = F.try_parse_json("text")
+    return B.text(_files(spark, d)).select("name", j.isNotNull().alias("valid"), F.try_variant_get(j, "$.run_id", "string").alias("run_id"))
+
+
+@query("A4_load_text", f"SELECT name, raw_json AS text FROM ({_FILES})")
+def a4(spark, d):
+    return B.text(_files(spark, d))
+
+
+@query("I9_first_of_bins", f"{_SAMPLE} SELECT company, policy, bin, min(capture_id) AS first_id {_TAKEN} GROUP BY company, policy, bin")
+def i9(spark, d):
+    return prompts.time_sample(prompts.valid_captures(_index(spark, d))).groupBy("company", "policy", "bin").agg(F.min("capture_id").alias("first_id"))
+
+
+@query("I10_names_present", f"SELECT name, name IN (SELECT substr(name, 11) FROM ({NAMES})) AS present FROM (SELECT DISTINCT '04-doclines/' || company || '/' || policy || '/' || capture_ts || '.json' AS name FROM snapshot_index WHERE capture_ts IS NOT NULL)")
+def i10(spark, d):
+    asked = _index(spark, d).where("capture_ts is not null").select(F.concat_ws("/", F.lit("04-doclines"), "company", "policy", F.concat("capture_ts", F.lit(".json"))).alias("name")).distinct()
+    held = B.names(_names(spark, d)).withColumn("present", F.lit(True))
+    return asked.join(held, "name", "left").select("name", F.coalesce("present", F.lit(False)).alias("present"))

@@ -59,7 +59,7 @@ def test_extract():
 
 
 def test_sanitised():
-    assert A.sanitised({"a": ["<b>", 1, True, None], "c": "x & y"}) == {"a": ["&lt;b&gt;", 1, True, None], "c": "x &amp; y"}
+    assert A.sanitised({"a": ["<b>", 1, True, None], "c": "x & y"}) == {"a": ["<b></b>", 1, True, None], "c": "x &amp; y"}
 
 
 def test_schemas(spark):
