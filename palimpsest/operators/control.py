@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -16,23 +18,43 @@ STRIKES = 3
 WORKFLOWS = {"summarizer": (50, 60, 20, 3, 60), "scraper": (10, 60, 20, 3, 120), "webscraper": (120, 60, 20, 3, 60), "meta": (5, 60, 20, 3, 180)}
 
 
-def breaker_replay(ops: DataFrame, strikes: int = STRIKES) -> DataFrame:
-    """State of each workflow's breaker after every operation, as windows: trips since the last reset decide.
+def breaker_replay(ops: DataFrame, strikes: int = STRIKES, slice_seconds: int = 3600) -> DataFrame:
+    """State of each workflow's breaker after every operation: trips since the last reset decide.
 
-    ops: workflow, ts, seq, op (TRIP, RESET, GET_STATUS), error. Operations of other names change nothing.
+    ops: workflow, ts, seq, op (TRIP, RESET, GET_STATUS), error. Operations of other names change nothing. A workflow is not one
+    task: operations are counted within slices of time, and each slice starts from what the slices before it leave,
+    which is summed over one row a slice.
     """
-    upto = Window.partitionBy("workflow").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    rows = ops.withColumn("epoch", F.sum(F.when(F.col("op") == "RESET", 1).otherwise(0)).over(upto))
-    within = Window.partitionBy("workflow", "epoch").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     trip = F.col("op") == "TRIP"
-    rows = rows.withColumn("trips", F.sum(F.when(trip, 1).otherwise(0)).over(within)).withColumn("last_error", F.last(F.when(trip, F.col("error")), ignorenulls=True).over(within)).withColumn("last_trip", F.last(F.when(trip, F.col("ts")), ignorenulls=True).over(within))
-    is_open = F.col("trips") >= strikes
-    return rows.select("workflow", "ts", "seq", "op", F.greatest(F.lit(0), strikes - F.col("trips")).cast("int").alias("strikes"), is_open.alias("is_open"), F.when(is_open, F.col("last_error")).alias("error_message"), F.when(is_open, F.col("last_trip")).alias("opened_at"), (~is_open).alias("allowed"))
+    rows = ops.select("workflow", "ts", "seq", "op", "error").withColumn("slice", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (slice_seconds * 1_000_000)))
+    inside = Window.partitionBy("workflow", "slice").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("epoch", F.sum(F.when(F.col("op") == "RESET", 1).otherwise(0)).over(inside))
+    last_of = lambda c: F.max_by(F.when(trip, F.col(c)), F.when(trip, F.struct("ts", "seq")))
+    ends = (
+        rows.groupBy("workflow", "slice", "epoch").agg(F.count_if(trip).alias("trips"), last_of("error").alias("error"), last_of("ts").alias("at"))
+        .groupBy("workflow", "slice").agg(F.max("epoch").alias("resets"), F.max_by(F.struct("trips", "error", "at"), "epoch").alias("end"))
+    )
+    by = Window.partitionBy("workflow").orderBy("slice")
+    run = Window.partitionBy("workflow", "since").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+    left = ends.withColumn("since", F.sum(F.when(F.col("resets") > 0, 1).otherwise(0)).over(by)).select(
+        "workflow", "slice", F.sum("end.trips").over(run).alias("trips"), F.last("end.error", ignorenulls=True).over(run).alias("error"), F.last("end.at", ignorenulls=True).over(run).alias("at")
+    )
+    start = left.select("workflow", "slice", *[F.lag(c).over(by).alias(f"{c}_before") for c in ("trips", "error", "at")])
+    within = Window.partitionBy("workflow", "slice", "epoch").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = lambda c: F.last(F.when(trip, F.col(c)), ignorenulls=True).over(within)
+    counted = rows.withColumns({"own": F.sum(F.when(trip, 1).otherwise(0)).over(within), "own_error": so_far("error"), "own_at": so_far("ts")}).join(start, ["workflow", "slice"])
+    carried = lambda own, before: F.when(F.col("epoch") == 0, F.coalesce(own, F.col(before))).otherwise(own)
+    trips = F.col("own") + F.when(F.col("epoch") == 0, F.coalesce("trips_before", F.lit(0))).otherwise(F.lit(0))
+    is_open = trips >= strikes
+    return counted.select(
+        "workflow", "ts", "seq", "op", F.greatest(F.lit(0), strikes - trips).cast("int").alias("strikes"), is_open.alias("is_open"),
+        F.when(is_open, carried(F.col("own_error"), "error_before")).alias("error_message"), F.when(is_open, carried(F.col("own_at"), "at_before")).alias("opened_at"), (~is_open).alias("allowed"),
+    )
 
 
 @dataclass
 class Limiter:
-    """Sliding-window counter: calls of this window and, weighted by what is left of the minute, of the one before."""
+    """Calls counted by windows of `period` seconds: those of the window of the last call that went, and of the window before it."""
 
     rpm: int
     period: int = 60
@@ -42,21 +64,21 @@ class Limiter:
     last_success: datetime | None = None
 
     def acquire(self, now: datetime) -> bool:
-        """Whether a call may go now. Windows shift by the last call that went, also where this one may not."""
-        window = now.timestamp() // self.period
-        last = (self.last_success or now).timestamp() // self.period
-        if self.last_success is None:
-            self.last_success = now
-        if last == window - 1:
-            self.used_previous, self.used_current = self.used_current, 0
-        elif last != window:
-            self.used_previous = self.used_current = 0
-        if math.ceil(self.used_previous * (self.period - now.second) / self.period + self.used_current) >= self.rpm:
-            return False
-        self.used_current += 1
-        self.remaining = self.rpm - self.used_current - self.used_previous
-        self.last_success = now
-        return True
+        """Whether a call may go now: the calls of its window and, weighted by what is left of the minute, of the window before
+        stay below `rpm`. Counts are carried over by how many windows ago the last call went, whether or not this one may go."""
+        here = now.timestamp() // self.period
+        self.last_success = self.last_success or now
+        ago = here - self.last_success.timestamp() // self.period
+        self.used_previous, self.used_current = {0: (self.used_previous, self.used_current), 1: (self.used_current, 0)}.get(ago, (0, 0))
+        weighted = self.used_current + self.used_previous * (self.period - now.second) / self.period
+        allowed = math.ceil(weighted) < self.rpm
+        if allowed:
+            self.used_current, self.last_success = self.used_current + 1, now
+            self.remaining = self.rpm - self.used_current - self.used_previous
+        return allowed
+
+    def counts(self) -> tuple[int, int, int]:
+        return self.used_previous, self.used_current, self.rpm if self.remaining is None else self.remaining
 
 
 LIMITER_SCHEMA = "workflow string, ts timestamp, seq long, allowed boolean, used_previous int, used_current int, remaining int"
@@ -65,19 +87,22 @@ LIMITER_SCHEMA = "workflow string, ts timestamp, seq long, allowed boolean, used
 def limiter_replay(calls: DataFrame, rpm: int, period: int = 60) -> DataFrame:
     """Every call of each workflow in order with whether it was allowed and the counts after it.
 
-    An ordered fold: what one call may do hangs on all before it, so a workflow is one sequence (as in the limiter itself,
-    which serves one call of a workflow at a time). Only time and number of a call travel. calls: workflow, ts, seq.
+    An ordered fold: what one call may do hangs on the calls of its window and the one before. After a whole window without
+    a call nothing is left to carry over (the next call goes in any case), so a workflow is split there and busy
+    stretches are folded apart. Only time and number of a call travel. calls: workflow, ts, seq.
     """
+    rows = calls.select("workflow", "ts", "seq").where("workflow is not null and ts is not null").withColumn("win", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (period * 1_000_000)))
+    by = Window.partitionBy("workflow").orderBy("win")
+    gap = F.when(F.col("win") - F.lag("win").over(by) > 1, 1).otherwise(0)
+    stretches = rows.select("workflow", "win").distinct().withColumn("gap", gap).select("workflow", "win", F.sum("gap").over(by).alias("stretch"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["ts", "seq"], kind="stable")
-        lim, out = Limiter(rpm, period), []
-        for now in (t.to_pydatetime() for t in pdf["ts"]):
-            ok = lim.acquire(now)
-            out.append((ok, lim.used_previous, lim.used_current, rpm if lim.remaining is None else lim.remaining))
+        lim = Limiter(rpm, period)
+        out = [(lim.acquire(now), *lim.counts()) for now in (t.to_pydatetime() for t in pdf["ts"])]
         return pd.concat([pdf[["workflow", "ts", "seq"]].reset_index(drop=True), pd.DataFrame(out, columns=["allowed", "used_previous", "used_current", "remaining"])], axis=1)
 
-    return calls.select("workflow", "ts", "seq").where("workflow is not null and ts is not null").groupBy("workflow").applyInPandas(fold, LIMITER_SCHEMA)
+    return rows.join(stretches, ["workflow", "win"]).groupBy("workflow", "stretch").applyInPandas(fold, LIMITER_SCHEMA)
 
 
 @dataclass
@@ -92,47 +117,80 @@ class Task:
 
 class Orchestrator:
     """Runs tasks against a clock of its own: breaker, limiter, breaker again, then the activity; retries, and trips when
-    the last attempt fails. Tasks that meet an open breaker wait for a reset and then start from scratch."""
+    the last attempt fails. Tasks that meet an open breaker wait for a reset and then start from scratch. A heap of (time, order)
+    says whose turn it is."""
 
     def __init__(self, activity: Callable[[Task], dict | str | None], workflows: dict[str, tuple] = WORKFLOWS, start: datetime = datetime(2024, 1, 1)):
         self.activity, self.config, self.now = activity, workflows, start
         self.limiter = {w: Limiter(c[0], c[1]) for w, c in workflows.items()}
         self.strikes = dict.fromkeys(workflows, STRIKES)
         self.tasks: list[Task] = []
+        self.turns: list[tuple[datetime, int]] = []
+        self.waiting: dict[str, list[int]] = defaultdict(list)
 
     def submit(self, tasks: Iterable[Task]) -> None:
+        """Takes tasks for now, or for their own time where that is later."""
         for t in tasks:
-            t.ready = self.now
+            self._queue(len(self.tasks), max(self.now, t.ready), t)
             self.tasks.append(t)
 
+    def _queue(self, at: int, ready: datetime, task: Task) -> None:
+        task.ready = ready
+        heappush(self.turns, (ready, at))
+
     def reset(self, workflow: str) -> None:
         self.strikes[workflow] = STRIKES
-        for t in self.tasks:
-            if t.workflow == workflow and t.status == "Waiting for circuit":
-                t.status, t.attempts, t.ready = "pending", 0, self.now
+        for at in self.waiting.pop(workflow, []):
+            self.tasks[at].status, self.tasks[at].attempts = "pending", 0
+            self._queue(at, self.now, self.tasks[at])
 
     def run(self) -> None:
         """Until every task is done, failed or waiting for its circuit."""
-        while open_ := [t for t in self.tasks if t.status in ("pending", "throttled", "retrying")]:
-            t = min(open_, key=lambda t: t.ready)
-            self.now = max(self.now, t.ready)
+        while self.turns:
+            ready, at = heappop(self.turns)
+            t = self.tasks[at]
+            self.now = max(self.now, ready)
             _, _, throttle, most, delay = self.config[t.workflow]
             if self.strikes[t.workflow] <= 0:
                 t.status = "Waiting for circuit"
+                self.waiting[t.workflow].append(at)
             elif not self.limiter[t.workflow].acquire(self.now):
-                t.status, t.ready = "throttled", self.now + timedelta(seconds=throttle)
+                t.status = "throttled"
+                self._queue(at, self.now + timedelta(seconds=throttle), t)
             else:
                 t.attempts += 1
                 result = self.activity(t)
                 if not (isinstance(result, dict) and "error_type" in result):
                     t.status = "done"
                 elif t.attempts < most:
-                    t.status, t.ready = "retrying", self.now + timedelta(seconds=delay)
+                    t.status = "retrying"
+                    self._queue(at, self.now + timedelta(seconds=delay), t)
                 else:
                     t.status, t.error = "failed", str(result.get("message"))
                     self.strikes[t.workflow] = max(0, self.strikes[t.workflow] - 1)
 
 
+def orchestrated(tasks: DataFrame, config: tuple = (10, 60, 20, 3, 60)) -> DataFrame:
+    """Outcome of every task (workflow, task_id, status, attempts, ready): each workflow is run by an orchestrator of its own.
+
+    tasks: workflow, task_id, ts (when it comes), failures (how many of its attempts fail). A workflow is one sequence by nature, as
+    its breaker and its limiter serve one call at a time; only these four values of a task travel. config: calls a
+    period, its seconds, delay when throttled, attempts and delay between them. A null workflow is left out.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = pdf["workflow"].iloc[0]
+        pdf = pdf.sort_values(["ts", "task_id"], kind="stable")
+        fails = dict(zip(pdf["task_id"], pdf["failures"]))
+        o = Orchestrator(lambda t: {"error_type": "failure", "message": "failed"} if t.attempts <= fails[t.task_id] else None, {name: config}, pdf["ts"].iloc[0].to_pydatetime())
+        o.submit(Task(i, name, ready=ts.to_pydatetime()) for i, ts in zip(pdf["task_id"], pdf["ts"]))
+        o.run()
+        return pd.DataFrame([(t.workflow, t.task_id, t.status, t.attempts, t.ready) for t in o.tasks], columns=["workflow", "task_id", "status", "attempts", "ready"])
+
+    rows = tasks.select("workflow", "task_id", "ts", F.coalesce("failures", F.lit(0)).cast("int").alias("failures")).dropna(subset=["workflow", "task_id", "ts"]).dropDuplicates(["workflow", "task_id"])
+    return rows.groupBy("workflow").applyInPandas(run, "workflow string, task_id string, status string, attempts int, ready timestamp")
+
+
 def tasks_with(tasks: DataFrame, status: str | None = None, workflow: str | None = None) -> DataFrame:
     """Tasks of a status and workflow; `input` is JSON text, possibly encoded twice."""
     shape = "struct<task_id:string,workflow_type:string,company:string,policy:string,timestamp:string>"

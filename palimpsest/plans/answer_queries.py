@@ -394,6 +394,32 @@ def s1_stream(spark, d):
     return stages.run_available(stages.limiter_stream(stages.operations(events)), stages.shared_folder(spark)).drop("ts")
 
 
+@query("S3_orchestrated")
+def s3(spark, d):
+    """Events as tasks of four workflows, run through breaker, limiter and retries: errors fail always, searches once."""
+    fails = F.when(F.col("event_type") == "error", 99).when(F.col("event_type") == "search", 1).otherwise(0)
+    tasks = table(spark, d, "events").select(F.concat(F.lit("w"), (F.col("user_id") % 4).cast("string")).alias("workflow"), F.col("event_id").cast("string").alias("task_id"), "ts", fails.alias("failures"))
+    return control.orchestrated(tasks)
+
+
+@query("S4_waiting_for_circuit", f"""WITH o AS (SELECT 'w' || (user_id % 4) AS workflow, event_id, ts, event_type FROM events), e AS (
+  SELECT *, count(*) FILTER (event_type = 'error') OVER (PARTITION BY workflow ORDER BY ts, event_id::VARCHAR ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM o)
+SELECT workflow, event_id::VARCHAR AS task_id, CASE WHEN before >= 3 THEN 'Waiting for circuit' WHEN event_type = 'error' THEN 'failed' ELSE 'done' END AS status FROM e""")
+def s4(spark, d):
+    """Tasks that are tried once and never throttled: three that fail open the circuit, and all after them wait for it."""
+    tasks = table(spark, d, "events").select(F.concat(F.lit("w"), (F.col("user_id") % 4).cast("string")).alias("workflow"), F.col("event_id").cast("string").alias("task_id"), "ts", F.when(F.col("event_type") == "error", 9).otherwise(0).alias("failures"))
+    return control.orchestrated(tasks, (10**9, 60, 20, 1, 60)).select("workflow", "task_id", "status")
+
+
+@query("S5_throttled", """WITH w AS (SELECT 'w' || (user_id % 4) AS workflow, min(ts) AS low, count(*) AS n FROM events GROUP BY 1)
+SELECT workflow, n, n AS done FROM w""")
+def s5(spark, d):
+    """Tasks that all come at once under a limit of five a minute are all done in the end, each after its waits."""
+    rows = table(spark, d, "events").select(F.concat(F.lit("w"), (F.col("user_id") % 4).cast("string")).alias("workflow"), F.col("event_id").cast("string").alias("task_id"), F.lit("2024-01-01").cast("timestamp").alias("ts"), F.lit(0).alias("failures"))
+    got = control.orchestrated(rows, (50, 60, 20, 1, 60))
+    return got.groupBy("workflow").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "done").alias("done"))
+
+
 TASKS = "SELECT event_id, user_id, event_type FROM events"
 
 

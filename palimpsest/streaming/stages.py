@@ -52,6 +52,18 @@ def recompute_keys(stream: DataFrame, history: Callable[[SparkSession], DataFram
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", state).trigger(availableNow=True).start()
 
 
+def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """The rows of a key in one batch by time: their times and numbers only, which is all a fold needs to see at once."""
+    return pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq"], kind="stable", ignore_index=True)
+
+
+def _in_parts(rows: pd.DataFrame, more: Callable[[pd.DataFrame], pd.DataFrame], size: int = 10_000) -> Iterator[pd.DataFrame]:
+    """Rows with what `more` says of them, in parts of bounded size."""
+    for k in range(0, len(rows), size):
+        part = rows.iloc[k : k + size].reset_index(drop=True)
+        yield pd.concat([part, more(part)], axis=1)
+
+
 class Breaker(StatefulProcessor):
     """Strikes of a workflow's breaker; one row out for each operation."""
 
@@ -60,13 +72,17 @@ class Breaker(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         strikes = self.state.get()[0] if self.state.exists() else STRIKES
-        pdf = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
-        out = []
-        for op in pdf["op"]:
-            strikes = max(0, strikes - 1) if op == "TRIP" else STRIKES if op == "RESET" else strikes
-            out.append((strikes, strikes == 0))
+
+        def fold(part: pd.DataFrame) -> pd.DataFrame:
+            nonlocal strikes
+            out = []
+            for op in part["op"]:
+                strikes = max(0, strikes - 1) if op == "TRIP" else STRIKES if op == "RESET" else strikes
+                out.append((strikes, strikes == 0))
+            return pd.DataFrame(out, columns=["strikes", "is_open"]).astype({"strikes": "int32"})
+
+        yield from _in_parts(_in_order(rows)[["workflow", "ts", "seq", "op"]], fold)
         self.state.update((strikes,))
-        yield pd.concat([pdf[["workflow", "ts", "seq", "op"]].reset_index(drop=True), pd.DataFrame(out, columns=["strikes", "is_open"]).astype({"strikes": "int32"})], axis=1)
 
     def close(self) -> None:
         pass
@@ -85,14 +101,13 @@ class RateLimiter(StatefulProcessor):
         if self.state.exists():
             lim.used_previous, lim.used_current, lim.remaining, last = self.state.get()
             lim.last_success = datetime.fromtimestamp(last.timestamp()) if last is not None else None
-        pdf = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
-        out = []
-        for now in (t.to_pydatetime() for t in pdf["ts"]):
-            ok = lim.acquire(now)
-            out.append((ok, lim.used_previous, lim.used_current, self.rpm if lim.remaining is None else lim.remaining))
-        self.state.update((lim.used_previous, lim.used_current, self.rpm if lim.remaining is None else lim.remaining, lim.last_success))
-        counts = pd.DataFrame(out, columns=["allowed", "used_previous", "used_current", "remaining"]).astype({"used_previous": "int32", "used_current": "int32", "remaining": "int32"})
-        yield pd.concat([pdf[["workflow", "ts", "seq"]].reset_index(drop=True), counts], axis=1)
+
+        def fold(part: pd.DataFrame) -> pd.DataFrame:
+            out = [(lim.acquire(now), *lim.counts()) for now in (t.to_pydatetime() for t in part["ts"])]
+            return pd.DataFrame(out, columns=["allowed", "used_previous", "used_current", "remaining"]).astype({"used_previous": "int32", "used_current": "int32", "remaining": "int32"})
+
+        yield from _in_parts(_in_order(rows)[["workflow", "ts", "seq"]], fold)
+        self.state.update((*lim.counts(), lim.last_success))
 
     def close(self) -> None:
         pass

@@ -115,3 +115,36 @@ def test_audit(spark):
     hit = audit.touched(b, F.lit("2024-01-01 00:00:00").cast("timestamp"), company="c", timestamp="2019").collect()
     assert len(hit) == 1 and hit[0].metadata == {"a": "b", "touched": "2024-01-01T00:00:00"}
     assert audit.touched(b, F.lit("2024-01-01 00:00:00").cast("timestamp")).count() == 2
+
+
+def test_hot_workflow_over_many_slices(spark):
+    """One workflow over days, with stretches without resets or trips: the same as counting call by call."""
+    import random
+
+    rnd = random.Random(3)
+    rows, at = [], datetime(2024, 1, 1)
+    for k in range(3000):
+        at += timedelta(seconds=rnd.choice([0, 1, 30, 4000]))
+        rows.append(("w", at, k, rnd.choice(["TRIP", "GET_STATUS", "GET_STATUS", "GET_STATUS"]) if rnd.random() > 0.02 else "RESET", f"e{k}"))
+    got = {r.seq: r for r in control.breaker_replay(spark.createDataFrame(rows, "workflow string, ts timestamp, seq long, op string, error string")).collect()}
+    strikes, error, opened = 3, None, None
+    for _, ts, k, op, e in rows:
+        if op == "TRIP":
+            strikes, error, opened = max(0, strikes - 1), e, ts
+        elif op == "RESET":
+            strikes = 3
+        assert (got[k].strikes, got[k].is_open) == (strikes, strikes == 0)
+        if strikes == 0:
+            assert (got[k].error_message, got[k].opened_at) == (error, opened)
+    lim = Limiter(3)
+    want = {k: (lim.acquire(ts), *lim.counts()) for _, ts, k, *_ in rows}
+    calls = control.limiter_replay(spark.createDataFrame([r[:3] for r in rows], "workflow string, ts timestamp, seq long"), rpm=3)
+    assert {r.seq: (r.allowed, r.used_previous, r.used_current, r.remaining) for r in calls.collect()} == want
+
+
+def test_orchestrated_frames(spark):
+    rows = [("w", f"t{k}", datetime(2024, 1, 1, 0, 0, k), 9 if k < 2 else 0) for k in range(6)] + [("v", "x", datetime(2024, 1, 1), 1), (None, "y", datetime(2024, 1, 1), 0)]
+    df = spark.createDataFrame(rows, "workflow string, task_id string, ts timestamp, failures int").withColumn("status", F.lit("clash"))
+    got = {(r.workflow, r.task_id): (r.status, r.attempts) for r in control.orchestrated(df, (100, 60, 20, 2, 5)).collect()}
+    assert got["v", "x"] == ("done", 2) and got["w", "t0"] == got["w", "t1"] == ("failed", 2) and got["w", "t5"] == ("done", 1) and len(got) == 7
+    assert control.orchestrated(df.limit(0)).count() == 0
