@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import answers as A
 from palimpsest.operators import audit, control, evaluation, prompts
 from palimpsest.session import table
-from palimpsest.streaming import stages
+from palimpsest.streaming import manage, stages
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -420,6 +420,38 @@ def s5(spark, d):
     return got.groupBy("workflow").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "done").alias("done"))
 
 
+@query("S7_breaker_states", f"""SELECT workflow, arg_max(strikes, (ts, seq))::INT AS strikes, arg_max(strikes, (ts, seq)) <= 0 AS is_open FROM (WITH o AS (SELECT *, sum((op = 'RESET')::INT) OVER (PARTITION BY workflow ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS epoch FROM ({OPS}))
+SELECT workflow, ts, seq, greatest(0, 3 - sum((op = 'TRIP')::INT) OVER (PARTITION BY workflow, epoch ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)) AS strikes FROM o) GROUP BY workflow""")
+def s7(spark, d):
+    """The breakers as the state store holds them after the stream has taken in all operations."""
+    out = stages.shared_folder(spark)
+    stages.run_available(stages.breaker_stream(stages.operations(stages.arrivals(spark, d, table(spark, d, "events").schema, pattern="events.parquet"))), out)
+    return manage.breaker_states(spark, f"{out}-state")
+
+
+@query("S9_in_flight_page", "SELECT event_id::VARCHAR AS task_id FROM events WHERE event_type = 'click' AND event_id::VARCHAR > '2' ORDER BY 1 LIMIT 100")
+def s9(spark, d):
+    """The page of running tasks after a token: a limit is the feature."""
+    tasks = table(spark, d, "events").select(F.col("event_id").cast("string").alias("task_id"), F.when(F.col("event_type") == "click", "Running").otherwise("Done").alias("status"))
+    return manage.in_flight_page(tasks, "2").select("task_id")
+
+
+@query("A19_stage_chain", f"""SELECT company, policy, version_ts, sum({SIZE})::BIGINT AS chars, count(*) AS n FROM diff_sections WHERE coalesce("before", '') <> coalesce("after", '') GROUP BY ALL""")
+def a19(spark, d):
+    """Seven stages set off by the files of the one before: names, clean sections, lengths, flags, prompts, checks, results."""
+    steps = {
+        "01-names": lambda s: s.withColumn("name", F.concat_ws("/", *DOC)),
+        "02-sides": lambda s: s.withColumns({c: F.coalesce(c, F.lit("")) for c in ("before", "after")}),
+        "03-changed": lambda s: s.where(F.col("before") != F.col("after")),
+        "04-lengths": lambda s: s.withColumn("chars", F.length("before") + F.length("after")),
+        "05-prompts": lambda s: s.withColumn("prompt", F.to_json(F.struct("before", "after"))),
+        "06-checks": lambda s: s.withColumn("error", prompts.prompt_check(prompts.prompt(F.lit("s"), F.array().cast("array<struct<role:string,content:string>>"), F.col("prompt")))["error"]),
+        "07-results": lambda s: s.select(*DOC, "section_id", "chars"),
+    }
+    folders = stages.chain(spark, d, table(spark, d, "diff_sections").schema, steps, stages.shared_folder(spark), "diff_sections.parquet")
+    return spark.read.parquet(folders["07-results"]).groupBy(*DOC).agg(F.sum("chars").cast("bigint").alias("chars"), F.count("*").alias("n"))
+
+
 TASKS = "SELECT event_id, user_id, event_type FROM events"
 
 

@@ -37,6 +37,20 @@ def run_available(stream: DataFrame, out: str, mode: str = "append") -> DataFram
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
+def chain(spark: SparkSession, source: str, schema, steps: dict[str, Callable[[DataFrame], DataFrame]], out: str, pattern: str = "*.parquet") -> dict[str, str]:
+    """Runs stages one after the other, each a stream that is set off by the files the stage before wrote; gives the folder of each.
+
+    Each stage keeps its own state, so that a later call takes up only what has arrived since.
+    """
+    where, folders = source, {}
+    for name, step in steps.items():
+        stream = step(arrivals(spark, where, schema, pattern=pattern))
+        folders[name] = f"{out}/{name}"
+        done = run_available(stream, folders[name])
+        where, schema, pattern = folders[name], done.schema, "*.parquet"
+    return folders
+
+
 def recompute_keys(stream: DataFrame, history: Callable[[SparkSession], DataFrame], recompute: Callable[[DataFrame], DataFrame], key: list[str], out: str, state: str):
     """For each batch recomputes the documents it touches from their whole history and overwrites their partitions.
 
