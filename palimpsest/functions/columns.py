@@ -1,4 +1,4 @@
-"""Scalar column expressions: blob paths, URLs, capture filters, word entropy. All stay in the JVM."""
+"""Scalar column expressions: blob paths, URLs, capture filters, words. All stay in the JVM."""
 
 from __future__ import annotations
 
@@ -15,18 +15,6 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def entropy_of(tokens: Column) -> Column:
-    """Shannon entropy in bits over the tokens, with 1e-12 beside each probability; no tokens give 0."""
-    n = F.size(tokens).cast("double")
-    # counts by one pass over the sorted tokens: acc = (run's token, run's length, sum of p log p)
-    part = lambda k: F.when(k > 0, (k / n) * F.log2(k / n + F.lit(1e-12))).otherwise(F.lit(0.0).cast("double"))
-    start = F.struct(F.lit(None).cast("string").alias("w"), F.lit(0.0).cast("double").alias("k"), F.lit(0.0).cast("double").alias("s"))
-    step = lambda a, w: F.when(
-        a["w"].eqNullSafe(w), F.struct(a["w"].alias("w"), (a["k"] + F.lit(1.0).cast("double")).alias("k"), a["s"].alias("s"))
-    ).otherwise(F.struct(w.alias("w"), F.lit(1.0).cast("double").alias("k"), (a["s"] + part(a["k"])).alias("s")))
-    return F.when(F.size(tokens) > 0, F.aggregate(F.array_sort(tokens), start, step, lambda a: -(a["s"] + part(a["k"])))).otherwise(F.when(tokens.isNotNull(), F.lit(0.0).cast("double")))
-
-
 def strip_container(path: Column | str) -> Column:
     """A blob name without a leading container name."""
     return F.regexp_replace(path, "^documents/", "")

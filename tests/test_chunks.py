@@ -1,3 +1,4 @@
+from palimpsest.operators import chunks as K
 import random
 
 from hypothesis import given, settings
@@ -51,3 +52,28 @@ def test_empty(spark):
     rows = spark.createDataFrame([], "company string, policy string, version_ts string, chunk_idx int, text string")
     assert pooled(rows, "company", "policy", "version_ts").count() == 0
     assert rows.select(F.count("*")).first()[0] == 0
+
+
+def test_quantiles(spark):
+    """Against numpy, with ties, nulls, a null group, groups of one and of two values."""
+    import random
+
+    import numpy as np
+
+    from palimpsest.operators.chunks import quantiles_of
+
+    rnd = random.Random(2)
+    groups = {"a": [rnd.random() * 8 for _ in range(500)], "b": [3.25] * 40 + [1.0], "c": [2.0], None: [0.0, 7.5]}
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [("a", None), ("z", None)]
+    df = spark.createDataFrame(rows, "g string, e double")
+    got = {r.g: [r.q5, r.q25, r.q50, r.q75, r.q95] for r in quantiles_of(df, "e", "g").collect()}
+    assert got.keys() == groups.keys()
+    for k, vs in groups.items():
+        assert np.allclose(got[k], np.quantile(vs, [0.05, 0.25, 0.5, 0.75, 0.95]), atol=1e-12)
+    assert quantiles_of(df.limit(0), "e", "g").count() == 0
+
+
+def test_entropy(spark):
+    df = spark.createDataFrame([("a b",), ("a a",), ("",), (None,), ("a b c d",)], "text string")
+    got = [r.entropy for r in K.with_entropy(df).collect()]
+    assert [None if x is None else round(x, 6) + 0.0 for x in got] == [1.0, 0.0, 0.0, None, 2.0]

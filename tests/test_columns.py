@@ -47,11 +47,3 @@ def test_cdx_rows_cut_to_the_shorter(spark):
     got = value(spark, C.cdx_rows(F.lit('[["a","b"],["1","2"],["3"],["4","5","6"]]')))
     assert got == [{"a": "1", "b": "2"}, {"a": "3"}, {"a": "4", "b": "5"}]
     assert value(spark, C.cdx_rows(F.lit('[["a","b"]]'))) == []
-
-
-def test_entropy(spark):
-    e = lambda t: value(spark, C.entropy_of(C.words(F.lit(t))))
-    assert e("") == 0 and abs(e("a")) < 1e-9
-    assert abs(e("a b a b") - 1) < 1e-9
-    assert e("a b c d e f g h") < 3 and abs(e("a b c d e f g h") - 3) < 1e-9
-    assert e("x y") == pytest.approx(1, abs=1e-9)
