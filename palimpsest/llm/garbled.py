@@ -6,7 +6,8 @@ every clause and word are undone by every transformation, and what comes out is
 most frequent twin is also aligned run by run with the others, so that clauses garbled only in places tell as well. The
 transformations so learned are applied to every word of the corpus. A repair holds if the corpus knows the repaired word
 better than the garbled one, or, for bytes of UTF-8, if it decodes throughout into characters the corpus uses. The corpus
-is its distinct texts, so that copies of one garbled text do not outvote the clean ones.
+is its distinct texts, so that copies of one garbled text do not outvote the clean ones. Decoding with losses (replacement
+signs, stray control codes) is such a transformation too, learned from twins of words so marked; what has no twin stays unrestored.
 """
 
 from __future__ import annotations
@@ -203,7 +204,10 @@ def repairs(texts: DataFrame, id_col: str, text_col: str, cut=lambda df: df) ->
     lost = words.where(F.col("record").rlike(LOST)).select("record", skeleton.alias("k"), F.size(F.regexp_extract_all("record", F.lit(r"[^\x00-\x7F]+"), F.lit(0))).alias("runs"))
     best = clean.select(skeleton.alias("k"), F.size(F.regexp_extract_all("record", F.lit(r"[^\x00-\x7F]+"), F.lit(0))).alias("runs"), F.struct("n", "record").alias("rank")).where(F.length("k") >= 3)
     twins = best.groupBy("k", "runs").agg(F.max("rank").alias("r")).select("k", "runs", F.col("r.record").alias("twin"))
-    restored = lost.join(twins, ["k", "runs"], "left").select("record", "twin")
+    restored = cut(lost.join(twins, ["k", "runs"], "left").select("record", "twin"))
+    # that texts were decoded with losses is learned from twins like any other transformation, and then told of all words so marked
+    if restored.where("twin is not null").limit(MIN_SUPPORT).count() < MIN_SUPPORT:
+        return mapped
     return mapped.join(restored.withColumnRenamed("record", "lost"), F.col("record") == F.col("lost"), "full").select(
         F.coalesce("record", "lost").alias("record"), F.coalesce("fixed", "twin").alias("fixed"), F.coalesce("name", F.lit("lost")).alias("name"), F.coalesce("strong", F.lit(True)).alias("strong")
     )

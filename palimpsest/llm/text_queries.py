@@ -42,8 +42,7 @@ def p7_without(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p2_one_form": p2_one_form, "p4_found": p4_found, "p4_marked": p4_marked, "p7_found": p7_found, "p7_blocks": p7_blocks, "p7_without": p7_without}
 
-ORACLES = {
-    "p7_found": r"""
+P7 = r"""
 WITH raw AS (SELECT chunk_id, company, policy, string_split(text, chr(10)) AS ls FROM doc_chunks WHERE text IS NOT NULL AND company IS NOT NULL AND policy IS NOT NULL),
 lines AS (SELECT chunk_id, company, policy, unnest(ls) AS l, unnest(range(len(ls))) AS line_no FROM raw),
 keyed AS (SELECT chunk_id, company, policy, line_no::INT AS line_no,
@@ -51,6 +50,11 @@ keyed AS (SELECT chunk_id, company, policy, line_no::INT AS line_no,
 totals AS (SELECT company, count(DISTINCT policy) AS n FROM doc_chunks WHERE policy IS NOT NULL GROUP BY 1),
 hot AS (SELECT company, k FROM keyed WHERE k <> '' GROUP BY 1, 2 HAVING count(DISTINCT policy) >= 4
   AND count(DISTINCT policy) >= ceil(round((SELECT n FROM totals t WHERE t.company = keyed.company) * 0.3, 6)))
-SELECT chunk_id, line_no FROM keyed JOIN hot USING (company, k)
-""",
+"""
+
+ORACLES = {
+    "p7_found": P7 + "SELECT chunk_id, line_no FROM keyed JOIN hot USING (company, k)",
+    "p7_without": P7 + """, gone AS (SELECT chunk_id, list(DISTINCT line_no) AS nos FROM keyed JOIN hot USING (company, k) GROUP BY 1)
+SELECT chunk_id, CASE WHEN nos IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(len(ls)), lambda i: NOT list_contains(nos, i)), lambda i: ls[i + 1]), chr(10)) END AS text
+FROM (SELECT chunk_id, text, string_split(text, chr(10)) AS ls, nos FROM doc_chunks LEFT JOIN gone USING (chunk_id))""",
 }

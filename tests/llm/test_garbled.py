@@ -56,3 +56,12 @@ def test_every_twin_counts(spark):
     texts = [*(f"{c}. {i}" for c in clauses for i in range(6)), *(f"{clauses[-1]}. {i}" for i in range(6, 15)), *bad]
     df = spark.createDataFrame([(i, t, "r", "f") for i, t in enumerate(texts)], SCHEMA)
     assert {r.doc_id: r.text for r in restored(df).collect()} == {len(texts) - 3 + i: clauses[i] for i in range(3)}
+
+
+def test_losses_are_learned_from_twins(spark):
+    """Replacement signs count where twins show what was lost; alone in a corpus they tell nothing."""
+    clean = [f"Für die Größe gelten übliche Gebühren, siehe Anhang {i}." for i in range(10)]
+    rows = lambda texts: spark.createDataFrame([(i, t, "r", "f") for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.fully for r in restored(rows([*clean, "die Gr\ufffd\ufffde gelten \ufffdbliche Geb\ufffdhren,", "\ufffdxyz"])).collect()}
+    assert got == {10: True, 11: False}
+    assert garbled_words(rows([*clean, "\ufffdxyz"])).count() == 0
