@@ -107,7 +107,7 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def train(pages: int = 2500, rounds: int = 100, seed: int = 11, least: int = 4, decay: float = 2e-4) -> Chain:
+def train(pages: int = 2500, rounds: int = 60, seed: int = 11, least: int = 3, decay: float = 1e-4) -> Chain:
     """Fits the chain by maximum likelihood (Adam, L2) on all labelled pages at once."""
     data = labelled_pages(pages, seed)
     feats = [[features(x, tags) for tags, x, _ in p] for p in data]
