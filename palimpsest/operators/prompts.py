@@ -37,21 +37,43 @@ def time_sample(captures: DataFrame, bins: int = 10, order: str = "capture_id")
     return rows.where((~F.col("bad") & (F.col("in_bin") == 1)) | (F.col("bad") & (F.col("in_key") <= bins))).drop("t", "n", "low", "high", "bad", "in_bin", "in_key")
 
 
-def paged(sections: DataFrame, *doc: str, index: str = "index", tie: str | None = None, page_chars: int = PAGE_CHARS) -> DataFrame:
+def running_sum(rows: DataFrame, value: Column, key: list[str], order: list[str], slice_by: Column | None = None, name: str = "upto") -> DataFrame:
+    """Rows with the sum of `value` up to and with them in their key's order (nulls first).
+
+    slice_by: never falling in that order. With it a key is summed slice by slice, each starting from the sum of those before it,
+    so that a key with many rows is not one task.
+    """
+    if slice_by is None:
+        return rows.withColumn(name, F.sum(value).over(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    part = rows.withColumns({"_slice": slice_by, "_value": value, **{f"_k{i}": F.coalesce(F.col(c).cast("string"), F.lit("\0")) for i, c in enumerate(key)}})
+    keys = [f"_k{i}" for i in range(len(key))]
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = part.groupBy(*keys, "_slice").agg(F.sum("_value").alias("_sum")).select(*keys, "_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    got = part.join(starts, [*keys, "_slice"]).withColumn(name, F.col("_start") + F.sum("_value").over(within))
+    return got.drop("_slice", "_value", "_start", *keys)
+
+
+def paged(sections: DataFrame, *doc: str, index: str = "index", tie: str | None = None, page_chars: int = PAGE_CHARS, slice_by: Column | None = None) -> DataFrame:
     """Sections with their page: the whole pages the characters up to and with them fill. page_no counts the pages in use.
 
-    Sections go by index, those of one index by `tie`. A null side counts no characters.
+    Sections go by index, those of one index by `tie`. A null side counts no characters. slice_by: see running_sum.
     """
     size = F.coalesce(F.length("before"), F.lit(0)) + F.coalesce(F.length("after"), F.lit(0))
-    upto = F.sum(size).over(Window.partitionBy(*doc).orderBy(index, *([tie] if tie else [])).rowsBetween(Window.unboundedPreceding, 0))
-    rows = sections.withColumn("page", F.floor(upto / page_chars).cast("int"))
-    return rows.withColumn("page_no", F.dense_rank().over(Window.partitionBy(*doc).orderBy("page")))
+    rows = running_sum(sections, size, list(doc), [index, *([tie] if tie else [])], slice_by, "_upto").withColumn("page", F.floor(F.col("_upto") / page_chars).cast("int")).drop("_upto")
+    if slice_by is None:
+        return rows.withColumn("page_no", F.dense_rank().over(Window.partitionBy(*doc).orderBy("page")))
+    used = rows.select(*[F.col(c).alias(f"_d{i}") for i, c in enumerate(doc)], F.col("page").alias("_page")).distinct()
+    keys = [f"_d{i}" for i in range(len(doc))]
+    used = used.withColumn("page_no", F.row_number().over(Window.partitionBy(*keys).orderBy("_page")))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(doc, keys)] + [F.col("page") == F.col("_page")]
+    return rows.join(used, same).drop(*keys, "_page")
 
 
-def pages(sections: DataFrame, *doc: str, index: str = "index", tie: str | None = None, page_chars: int = PAGE_CHARS) -> DataFrame:
+def pages(sections: DataFrame, *doc: str, index: str = "index", tie: str | None = None, page_chars: int = PAGE_CHARS, slice_by: Column | None = None) -> DataFrame:
     """One row a page with its sections in order and its characters."""
     s = F.struct(F.col(index).alias("index"), *([tie] if tie else []), "before", "after")
-    rows = paged(sections, *doc, index=index, tie=tie, page_chars=page_chars).groupBy(*doc, "page_no").agg(F.array_sort(F.collect_list(s)).alias("sections"), F.count("*").alias("n_sections"))
+    rows = paged(sections, *doc, index=index, tie=tie, page_chars=page_chars, slice_by=slice_by).groupBy(*doc, "page_no").agg(F.array_sort(F.collect_list(s)).alias("sections"), F.count("*").alias("n_sections"))
     return rows.withColumn("content", F.to_json(F.struct(F.col("sections").alias("diffs"))))
 
 

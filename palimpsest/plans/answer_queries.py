@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions import answers as A
@@ -31,6 +31,11 @@ def _sections(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "diff_sections")
 
 
+def _month():
+    """Slices of a company's sections in the order of their versions; a null version comes first."""
+    return F.coalesce(F.substring("version_ts", 1, 6), F.lit(""))
+
+
 SIZE = "coalesce(length(before), 0) + coalesce(length(\"after\"), 0)"
 PAGED = f"""SELECT *, dense_rank() OVER (PARTITION BY company ORDER BY page) AS page_no FROM (
   SELECT *, (sum({SIZE}) OVER (PARTITION BY company ORDER BY version_ts, section_id ROWS UNBOUNDED PRECEDING) // 40000)::INT AS page FROM diff_sections)"""
@@ -38,12 +43,12 @@ PAGED = f"""SELECT *, dense_rank() OVER (PARTITION BY company ORDER BY page) AS
 
 @query("E2_prompt_pages", f"SELECT section_id, page, page_no::INT AS page_no FROM ({PAGED})")
 def e2(spark, d):
-    return prompts.paged(_sections(spark, d), "company", index="version_ts", tie="section_id").select("section_id", "page", "page_no")
+    return prompts.paged(_sections(spark, d), "company", index="version_ts", tie="section_id", slice_by=_month()).select("section_id", "page", "page_no")
 
 
 @query("E2_page_sizes", f"SELECT company, page_no::INT AS page_no, count(*) AS n_sections FROM ({PAGED}) GROUP BY 1, 2")
 def e2b(spark, d):
-    return prompts.pages(_sections(spark, d), "company", index="version_ts", tie="section_id").select("company", "page_no", F.col("n_sections"))
+    return prompts.pages(_sections(spark, d), "company", index="version_ts", tie="section_id", slice_by=_month()).select("company", "page_no", F.col("n_sections"))
 
 
 def _labelled(spark, d):
@@ -105,7 +110,7 @@ def e4(spark, d):
 @query("I6_running_sums", f"SELECT section_id, sum({SIZE}) OVER (PARTITION BY company ORDER BY version_ts, section_id ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM diff_sections")
 def i6(spark, d):
     size = F.coalesce(F.length("before"), F.lit(0)) + F.coalesce(F.length("after"), F.lit(0))
-    return _sections(spark, d).select("section_id", F.sum(size).over(Window.partitionBy("company").orderBy("version_ts", "section_id").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
+    return prompts.running_sum(_sections(spark, d), size, ["company"], ["version_ts", "section_id"], _month()).select("section_id", "upto")
 
 
 def _answers(spark, d):
@@ -346,9 +351,9 @@ def i4(spark, d):
 
 @query("I8_page_breaks", f"SELECT company, count(*) FILTER (was IS NULL OR was <> page) AS n_pages FROM (SELECT *, lag(page) OVER (PARTITION BY company ORDER BY version_ts, section_id) AS was FROM ({PAGED})) GROUP BY 1")
 def i8(spark, d):
-    rows = prompts.paged(_sections(spark, d), "company", index="version_ts", tie="section_id")
-    was = F.lag("page").over(Window.partitionBy("company").orderBy("version_ts", "section_id"))
-    return rows.withColumn("was", was).groupBy("company").agg(F.count_if(F.col("was").isNull() | (F.col("was") != F.col("page"))).alias("n_pages"))
+    """Where the running page changes a new one begins; as it never falls, these are as many as the distinct pages."""
+    rows = prompts.paged(_sections(spark, d), "company", index="version_ts", tie="section_id", slice_by=_month())
+    return rows.groupBy("company").agg(F.count_distinct("page").alias("n_pages"))
 
 
 OPS = "SELECT 'w' || (user_id % 4) AS workflow, ts, event_id AS seq, CASE event_type WHEN 'error' THEN 'TRIP' WHEN 'signup' THEN 'RESET' ELSE 'GET_STATUS' END AS op, props FROM events"
