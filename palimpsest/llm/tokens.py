@@ -231,6 +231,18 @@ def encode(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     return texts.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, f"{id_col} long, ids array<int>" + ", offsets array<int>" * offsets)
 
 
+def decode(encoded: DataFrame, id_col: str = "doc_id", path: str | None = None) -> DataFrame:
+    """(id, text) of rows of (id, ids); an empty list gives an empty text, a null one null."""
+    where = path or default_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(where)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([None if x is None else enc.decode(x) for x in b.column(1).to_pylist()], pa.string())], names=[id_col, "text"])
+
+    return encoded.select(F.col(id_col).cast("long").alias(id_col), "ids").mapInArrow(run, f"{id_col} long, text string")
+
+
 def counts(texts: DataFrame, id_col: str, text_col: str, path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_tokens, kept string columns) of every row."""
     where = path or default_path()

@@ -54,3 +54,14 @@ def test_frame(spark):
 @pytest.mark.parametrize("text", ["\ud800x".encode("utf-16", "surrogatepass").decode("utf-16", "replace")])
 def test_odd_code_points(text):
     assert ENC.decode(ids([text])[0][0]) == text
+
+
+def test_decoded_frames(spark):
+    from palimpsest.llm.tokens import decode
+
+    texts = ["Hello, it's 2024!  Größe", "", None, "🎉" * 500, "a" * 5000]
+    df = spark.createDataFrame([(i, t, [i]) for i, t in enumerate(texts)], "doc_id long, text string, ids array<int>")
+    got = {r.doc_id: r.text for r in decode(encode(df)).collect()}
+    assert got == {i: t or "" for i, t in enumerate(texts)}
+    nulls = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in decode(nulls).collect()} == {1: None, 2: ""} and decode(nulls.limit(0)).count() == 0
