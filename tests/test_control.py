@@ -85,6 +85,16 @@ def test_streams_equal_batches(spark, sf):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
 
 
+def test_streams_take_tables_of_many_files(spark, sf, tmp_path):
+    from __spark_entry__ import queries
+
+    for name in ("diff_sections", "events"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("A19_stage_chain", "S2_breaker_stream"):
+        got, want = (sorted(map(tuple, queries()[name](spark, d).collect())) for d in (str(tmp_path), sf))
+        assert got == want and got
+
+
 def test_late_versions_recompute_their_documents(spark, tmp_path):
     from palimpsest.operators.versions import neighbours
 
