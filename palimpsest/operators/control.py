@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.session import spread
+
 STRIKES = 3
 # Calls a period, its seconds, delay when throttled, attempts and delay between them, by workflow.
 WORKFLOWS = {"summarizer": (50, 60, 20, 3, 60), "scraper": (10, 60, 20, 3, 120), "webscraper": (120, 60, 20, 3, 60), "meta": (5, 60, 20, 3, 180)}
@@ -70,13 +72,25 @@ class Limiter:
         self.last_success = self.last_success or now
         ago = here - self.last_success.timestamp() // self.period
         self.used_previous, self.used_current = {0: (self.used_previous, self.used_current), 1: (self.used_current, 0)}.get(ago, (0, 0))
-        weighted = self.used_current + self.used_previous * (self.period - now.second) / self.period
-        allowed = math.ceil(weighted) < self.rpm
+        allowed = self._admits(now.second)
         if allowed:
             self.used_current, self.last_success = self.used_current + 1, now
             self.remaining = self.rpm - self.used_current - self.used_previous
         return allowed
 
+    def _admits(self, second: int) -> bool:
+        weighted = self.used_current + self.used_previous * (self.period - second) / self.period
+        return math.ceil(weighted) < self.rpm
+
+    def shut_for(self, now: datetime) -> int:
+        """For how many seconds, from the start of that of `now`, every call is turned away and changes nothing, as one just was: until
+        less is left of the minute, or the window of the last call that went ends. None (0) in later windows, as the next call may go there."""
+        here = now.timestamp() // self.period
+        if here != self.last_success.timestamp() // self.period:
+            return 0
+        left = math.floor((here + 1) * self.period - now.replace(microsecond=0).timestamp())
+        return max(0, min([left, *(s - now.second for s in range(now.second + 1, 60) if self._admits(s))]))
+
     def counts(self) -> tuple[int, int, int]:
         return self.used_previous, self.used_current, self.rpm if self.remaining is None else self.remaining
 
@@ -105,7 +119,7 @@ def limiter_replay(calls: DataFrame, rpm: int, period: int = 60) -> DataFrame:
     return rows.join(stretches, ["workflow", "win"]).groupBy("workflow", "stretch").applyInPandas(fold, LIMITER_SCHEMA)
 
 
-@dataclass
+@dataclass(slots=True)
 class Task:
     task_id: str
     workflow: str
@@ -115,10 +129,35 @@ class Task:
     error: str | None = None
 
 
+class Throttled:
+    """Tasks whose turns come round every so many whole seconds, by the second of the round. None of them is due before `since`; as that
+    is a whole second, the turns in between are passed over without touching the tasks."""
+
+    def __init__(self, every: int):
+        self.every, self.since, self.rounds = every, 0, defaultdict(list)
+
+    def add(self, second: int, micro: int, at: int) -> None:
+        heappush(self.rounds[second % self.every], (micro, at))
+
+    def first(self) -> tuple[int, int, int] | None:
+        """(second, microsecond, task) of the next turn."""
+        if not self.rounds:
+            return None
+        wait = min((second - self.since) % self.every for second in self.rounds)
+        return self.since + wait, *self.rounds[(self.since + wait) % self.every][0]
+
+    def remove_first(self) -> None:
+        key = self.first()[0] % self.every
+        heappop(self.rounds[key])
+        if not self.rounds[key]:
+            del self.rounds[key]
+
+
 class Orchestrator:
     """Runs tasks against a clock of its own: breaker, limiter, breaker again, then the activity; retries, and trips when
     the last attempt fails. Tasks that meet an open breaker wait for a reset and then start from scratch. A heap of (time, order)
-    says whose turn it is."""
+    says whose turn it is. While a limiter is shut, those it turns away are put by (where the delay is of whole seconds) and only the
+    one of them whose turn comes first stands in the heap, so a task costs a few turns however long it waits."""
 
     def __init__(self, activity: Callable[[Task], dict | str | None], workflows: dict[str, tuple] = WORKFLOWS, start: datetime = datetime(2024, 1, 1)):
         self.activity, self.config, self.now = activity, workflows, start
@@ -127,6 +166,9 @@ class Orchestrator:
         self.tasks: list[Task] = []
         self.turns: list[tuple[datetime, int]] = []
         self.waiting: dict[str, list[int]] = defaultdict(list)
+        self.origin = start.replace(microsecond=0)
+        self.throttled = {w: Throttled(int(c[2])) for w, c in workflows.items() if c[2] >= 1 and c[2] == int(c[2])}
+        self.called: dict[str, tuple[datetime, int]] = {}
 
     def submit(self, tasks: Iterable[Task]) -> None:
         """Takes tasks for now, or for their own time where that is later."""
@@ -138,6 +180,36 @@ class Orchestrator:
         task.ready = ready
         heappush(self.turns, (ready, at))
 
+    def _turned_away(self, workflow: str) -> bool:
+        by, since = self.throttled.get(workflow), self.now - self.origin
+        second = since.days * 86_400 + since.seconds
+        if by and second < by.since:
+            return True
+        if self.limiter[workflow].acquire(self.now):
+            return False
+        if by and (shut := self.limiter[workflow].shut_for(self.now)):
+            by.since = second + shut
+        return True
+
+    def _put_by(self, at: int, task: Task, delay: float) -> None:
+        by, since = self.throttled.get(task.workflow), self.now - self.origin
+        second = since.days * 86_400 + since.seconds
+        if by and second < by.since:
+            by.add(second, since.microseconds, at)
+        else:
+            self._queue(at, self.now + timedelta(seconds=delay), task)
+
+    def _call_up(self, workflow: str) -> None:
+        """The first of those put by has its turn in the heap, unless one called before comes earlier."""
+        by = self.throttled.get(workflow)
+        if by and (first := by.first()):
+            second, micro, at = first
+            ready = self.origin + timedelta(seconds=second, microseconds=micro)
+            if workflow not in self.called or (ready, at) < self.called[workflow]:
+                by.remove_first()
+                self.called[workflow] = (ready, at)
+                self._queue(at, ready, self.tasks[at])
+
     def reset(self, workflow: str) -> None:
         self.strikes[workflow] = STRIKES
         for at in self.waiting.pop(workflow, []):
@@ -150,13 +222,15 @@ class Orchestrator:
             ready, at = heappop(self.turns)
             t = self.tasks[at]
             self.now = max(self.now, ready)
+            if self.called.get(t.workflow) == (ready, at):
+                del self.called[t.workflow]
             _, _, throttle, most, delay = self.config[t.workflow]
             if self.strikes[t.workflow] <= 0:
                 t.status = "Waiting for circuit"
                 self.waiting[t.workflow].append(at)
-            elif not self.limiter[t.workflow].acquire(self.now):
+            elif self._turned_away(t.workflow):
                 t.status = "throttled"
-                self._queue(at, self.now + timedelta(seconds=throttle), t)
+                self._put_by(at, t, throttle)
             else:
                 t.attempts += 1
                 result = self.activity(t)
@@ -168,6 +242,7 @@ class Orchestrator:
                 else:
                     t.status, t.error = "failed", str(result.get("message"))
                     self.strikes[t.workflow] = max(0, self.strikes[t.workflow] - 1)
+            self._call_up(t.workflow)
 
 
 def orchestrated(tasks: DataFrame, config: tuple = (10, 60, 20, 3, 60)) -> DataFrame:
@@ -181,14 +256,14 @@ def orchestrated(tasks: DataFrame, config: tuple = (10, 60, 20, 3, 60)) -> DataF
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         name = pdf["workflow"].iloc[0]
         pdf = pdf.sort_values(["ts", "task_id"], kind="stable")
-        fails = dict(zip(pdf["task_id"], pdf["failures"]))
-        o = Orchestrator(lambda t: {"error_type": "failure", "message": "failed"} if t.attempts <= fails[t.task_id] else None, {name: config}, pdf["ts"].iloc[0].to_pydatetime())
+        fails = {i: n for i, n in zip(pdf["task_id"], pdf["failures"]) if n > 0}
+        o = Orchestrator(lambda t: {"error_type": "failure", "message": "failed"} if t.attempts <= fails.get(t.task_id, 0) else None, {name: config}, pdf["ts"].iloc[0].to_pydatetime())
         o.submit(Task(i, name, ready=ts.to_pydatetime()) for i, ts in zip(pdf["task_id"], pdf["ts"]))
         o.run()
-        return pd.DataFrame([(t.workflow, t.task_id, t.status, t.attempts, t.ready) for t in o.tasks], columns=["workflow", "task_id", "status", "attempts", "ready"])
+        return pd.DataFrame({c: [getattr(t, c) for t in o.tasks] for c in ("workflow", "task_id", "status", "attempts", "ready")})
 
     rows = tasks.select("workflow", "task_id", "ts", F.coalesce("failures", F.lit(0)).cast("int").alias("failures")).dropna(subset=["workflow", "task_id", "ts"]).dropDuplicates(["workflow", "task_id"])
-    return rows.groupBy("workflow").applyInPandas(run, "workflow string, task_id string, status string, attempts int, ready timestamp")
+    return spread(rows, "workflow").groupBy("workflow").applyInPandas(run, "workflow string, task_id string, status string, attempts int, ready timestamp")
 
 
 def tasks_with(tasks: DataFrame, status: str | None = None, workflow: str | None = None) -> DataFrame:

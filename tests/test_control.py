@@ -158,3 +158,49 @@ def test_orchestrated_frames(spark):
     got = {(r.workflow, r.task_id): (r.status, r.attempts) for r in control.orchestrated(df, (100, 60, 20, 2, 5)).collect()}
     assert got["v", "x"] == ("done", 2) and got["w", "t0"] == got["w", "t1"] == ("failed", 2) and got["w", "t5"] == ("done", 1) and len(got) == 7
     assert control.orchestrated(df.limit(0)).count() == 0
+
+
+def plain_replay(tasks, config, fails):
+    """The orchestrator's turns one by one, every throttled task asked again each time its delay is over."""
+    rpm, period, throttle, most, delay = config
+    lim, strikes, n, out = Limiter(rpm, period), 3, {}, {}
+    turns = sorted((ready, k) for k, (_, ready) in enumerate(tasks))
+    while turns:
+        now, k = turns.pop(0)
+        if strikes <= 0:
+            out[k] = ("Waiting for circuit", n.get(k, 0), now)
+            continue
+        if not lim.acquire(now):
+            turns.append((now + timedelta(seconds=throttle), k))
+        else:
+            n[k] = n.get(k, 0) + 1
+            if n[k] > fails.get(k, 0):
+                out[k] = ("done", n[k], now)
+            elif n[k] < most:
+                turns.append((now + timedelta(seconds=delay), k))
+            else:
+                out[k], strikes = ("failed", n[k], now), strikes - 1
+        turns.sort()
+    return [out[k] for k in range(len(tasks))]
+
+
+def test_throttled_tasks_keep_their_turns():
+    rnd = random.Random(5)
+    for k in range(40):
+        config = (rnd.choice([1, 3, 10]), rnd.choice([60, 60, 90]), rnd.choice([20, 7, 0.5]), rnd.choice([1, 3]), 61.25)
+        start = datetime(2024, 1, 1, 0, 0, rnd.randint(0, 59), 5000)
+        tasks = [(f"t{i}", start + timedelta(seconds=rnd.randint(0, 90), microseconds=rnd.choice([0, rnd.randint(0, 999_999)]))) for i in range(30)]
+        fails = {i: rnd.choice([1, 9]) for i in range(30) if rnd.random() < k % 4 / 20}
+        o = Orchestrator(lambda t: {"error_type": "x", "message": "m"} if t.attempts <= fails.get(int(t.task_id[1:]), 0) else None, {"w": config}, start)
+        o.submit(Task(i, "w", ready=ready) for i, ready in tasks)
+        o.run()
+        assert [(t.status, t.attempts, t.ready) for t in o.tasks] == plain_replay(tasks, config, fails)
+
+
+def test_waiting_for_the_limiter_costs_a_few_calls_a_task(monkeypatch):
+    calls, acquire = [], Limiter.acquire
+    monkeypatch.setattr(Limiter, "acquire", lambda self, now: calls.append(1) or acquire(self, now))
+    o = Orchestrator(lambda t: None, {"w": (50, 60, 20, 1, 60)})
+    o.submit(Task(str(k), "w") for k in range(2000))
+    o.run()
+    assert all(t.status == "done" for t in o.tasks) and o.now == datetime(2024, 1, 1, 0, 39, 20) and len(calls) < 3 * 2000
