@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 from heapq import heappop, heappush
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,7 +122,7 @@ def limiter_replay(calls: DataFrame, rpm: int, period: int = 60) -> DataFrame:
 
 @dataclass(slots=True)
 class Task:
-    task_id: str
+    task_id: str | int
     workflow: str
     attempts: int = 0
     status: str = "pending"
@@ -137,14 +138,15 @@ class Throttled:
         self.every, self.since, self.rounds = every, 0, defaultdict(list)
 
     def add(self, second: int, micro: int, at: int) -> None:
-        heappush(self.rounds[second % self.every], (micro, at))
+        heappush(self.rounds[second % self.every], micro << 40 | at)  # one number is smaller than a pair
 
     def first(self) -> tuple[int, int, int] | None:
         """(second, microsecond, task) of the next turn."""
         if not self.rounds:
             return None
         wait = min((second - self.since) % self.every for second in self.rounds)
-        return self.since + wait, *self.rounds[(self.since + wait) % self.every][0]
+        key = self.rounds[(self.since + wait) % self.every][0]
+        return self.since + wait, key >> 40, key & (1 << 40) - 1
 
     def remove_first(self) -> None:
         key = self.first()[0] % self.every
@@ -253,17 +255,19 @@ def orchestrated(tasks: DataFrame, config: tuple = (10, 60, 20, 3, 60)) -> DataF
     period, its seconds, delay when throttled, attempts and delay between them. A null workflow is left out.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = pdf["workflow"].iloc[0]
-        pdf = pdf.sort_values(["ts", "task_id"], kind="stable")
-        fails = {i: n for i, n in zip(pdf["task_id"], pdf["failures"]) if n > 0}
-        o = Orchestrator(lambda t: {"error_type": "failure", "message": "failed"} if t.attempts <= fails.get(t.task_id, 0) else None, {name: config}, pdf["ts"].iloc[0].to_pydatetime())
-        o.submit(Task(i, name, ready=ts.to_pydatetime()) for i, ts in zip(pdf["task_id"], pdf["ts"]))
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("ts", "ascending"), ("task_id", "ascending")])
+        name, fails = rows["workflow"][0].as_py(), rows["failures"].to_numpy()
+        times = rows["ts"].cast(pa.timestamp("us", "UTC")).cast(pa.timestamp("us")).to_pylist()
+        o = Orchestrator(lambda t: {"error_type": "failure", "message": "failed"} if t.attempts <= fails[t.task_id] else None, {name: config}, times[0])
+        o.submit(Task(k, name, ready=ts) for k, ts in enumerate(times))  # rows by number: their ids stay in Arrow
+        del times
         o.run()
-        return pd.DataFrame({c: [getattr(t, c) for t in o.tasks] for c in ("workflow", "task_id", "status", "attempts", "ready")})
+        ready = pa.array([t.ready for t in o.tasks], pa.timestamp("us")).cast(pa.timestamp("us", "UTC"))
+        return pa.table({"workflow": rows["workflow"], "task_id": rows["task_id"], "status": pa.array([t.status for t in o.tasks]), "attempts": pa.array([t.attempts for t in o.tasks], pa.int32()), "ready": ready})
 
     rows = tasks.select("workflow", "task_id", "ts", F.coalesce("failures", F.lit(0)).cast("int").alias("failures")).dropna(subset=["workflow", "task_id", "ts"]).dropDuplicates(["workflow", "task_id"])
-    return spread(rows, "workflow").groupBy("workflow").applyInPandas(run, "workflow string, task_id string, status string, attempts int, ready timestamp")
+    return spread(rows, "workflow").groupBy("workflow").applyInArrow(run, "workflow string, task_id string, status string, attempts int, ready timestamp")
 
 
 def tasks_with(tasks: DataFrame, status: str | None = None, workflow: str | None = None) -> DataFrame:
